@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Everything the sources treat as blank around a value, not just the space character.
-WHITESPACE = (
-    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 "
-    + "".join(chr(c) for c in range(0x2000, 0x200B))
-    + "    　"
-)
+WHITESPACE = "".join(
+    chr(c) for c in [
+        *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+        0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+    ])
 
 
 def col(c: Column | str) -> Column:
