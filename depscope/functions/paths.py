@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
-from ..model import NOISE_PARTS
+from ..model import NOISE_PATTERN
 from .text import col, or_empty, strip
 
 
@@ -44,10 +42,10 @@ def truncate_path(c: Column | str, depth: int) -> Column:
 
 
 def is_noise(c: Column | str) -> Column:
-    """True for temporary, staging, trash, checksum and commit-marker paths."""
-    path = strip(or_empty(c))
-    low = F.lower(path)
-    # a commit marker counts only where a name starts, not inside a word
-    commit = low.contains("_committed_") & low.rlike(r"(^|[^\p{L}\p{N}_])_committed_")
-    parts = reduce(Column.__or__, [low.contains(p) for p in NOISE_PARTS])
-    return parts | low.endswith(".crc") | commit | (basename(path) == "_SUCCESS")
+    """True for temporary, staging, trash, checksum and commit-marker paths.
+
+    One pattern, so that the path expression is evaluated once per row even where the
+    optimizer moves the test below the projection that made the path.
+    """
+    c = or_empty(c)
+    return c.rlike(NOISE_PATTERN) | (strip(c) == "_SUCCESS")

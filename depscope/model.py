@@ -58,11 +58,12 @@ METADATA_OPS = ["getfileinfo", "liststatus", "getfilestatus"]
 ALLOWED_WORDS = ["1", "true", "True", "allowed", "ALLOW"]
 DENIED_WORDS = ["0", "false", "False", "denied", "DENY"]
 
-# Path parts (lower case) that mark temporary or bookkeeping files.
-NOISE_PARTS = [
-    "_temporary", "_spark_metadata", "/_success", "/.trash/", "/.staging/", "/tmp/",
-    ".sparkstaging",
-]
+# Path parts that mark temporary or bookkeeping files, in any case. A commit
+# marker counts only where a name starts, not inside a word.
+NOISE_PATTERN = "|".join([
+    "(?i)_temporary", "_spark_metadata", "/_success", r"/\.trash/", r"/\.staging/", "/tmp/",
+    r"\.sparkstaging", r"\.crc[\s\p{Z}]*$", r"(?:^|[^\p{L}\p{N}_])_committed_",
+])
 
 # Word inside a service name -> object type, first match wins.
 SERVICE_OBJECT_TYPES = {

@@ -32,6 +32,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     return configure(builder.getOrCreate())
 

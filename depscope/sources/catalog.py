@@ -9,26 +9,28 @@ from ..model import ENTITY, LINEAGE, SEARCH_PAGE
 from .position import position
 
 
-def _json_lines(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """Records of all ``*.jsonl`` files of a folder, with their landed text as ``raw``."""
-    text = spark.read.option("pathGlobFilter", "*.jsonl").text(folder)
+def _json_lines(spark: SparkSession, folder: str, schema, pattern: str) -> DataFrame:
+    """Records of the JSON-lines files of a folder, with their landed text as ``raw``."""
+    text = spark.read.option("pathGlobFilter", pattern).text(folder)
     located = text.select(fn.strip("value").alias("raw"), position().alias("pos"))
     return located.filter(F.col("raw") != "").select(
         "raw", "pos", F.inline(F.array(F.from_json("raw", schema))))
 
 
-def entities(spark: SparkSession, dump: str) -> DataFrame:
+def entities(spark: SparkSession, dump: str, pattern: str = "*.jsonl") -> DataFrame:
     """Full entities of an export (``entities/*.jsonl``)."""
-    return _json_lines(spark, f"{dump.rstrip('/')}/entities", ENTITY)
+    return _json_lines(spark, f"{dump.rstrip('/')}/entities", ENTITY, pattern)
 
 
-def lineage_payloads(spark: SparkSession, dump: str) -> DataFrame | None:
+def lineage_payloads(
+    spark: SparkSession, dump: str, pattern: str = "*.jsonl"
+) -> DataFrame | None:
     """Lineage payloads of an export (``lineage/*.jsonl``); None without the folder."""
     folder = f"{dump.rstrip('/')}/lineage"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
-    rows = _json_lines(spark, folder, LINEAGE)
+    rows = _json_lines(spark, folder, LINEAGE, pattern)
     return rows.drop("raw").withColumnRenamed("pos", "payload_id")
 
 
