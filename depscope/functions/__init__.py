@@ -10,10 +10,10 @@ from .catalog import (  # noqa: F401
 )
 from .paths import basename, is_noise, parent_dir, truncate_path  # noqa: F401
 from .text import (  # noqa: F401
-    comma_to_semicolon, first_present, joined_parts, or_empty, present, safe_str,
-    sha1_or_empty, strip,
+    comma_to_semicolon, first_present, is_braced, joined_parts, or_empty, present,
+    safe_str, sha1_or_empty, strip, strip_line,
 )
 from .times import (  # noqa: F401
-    date_to_ms, day, dep_window, dep_window_start, epoch_seconds, epoch_to_iso,
-    floor_minutes, history_ts, iso, ms_to_iso, parse_iso, safe_ts, yyyymmdd,
+    date_to_ms, day, dep_window, dep_window_start, epoch_number, epoch_seconds, epoch_to_iso,
+    floor_minutes, history_ts, iso, ms_to_iso, number_seconds, parse_iso, safe_ts, yyyymmdd,
 )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 from ..model import (
@@ -17,7 +15,7 @@ def infer_op(access: Column | str, action: Column | str) -> Column:
     """READ or WRITE from the access type and action words; READ when in doubt."""
     access = strip(F.lower(or_empty(access)))
     action = strip(F.lower(or_empty(action)))
-    fragment = reduce(Column.__or__, [access.contains(w) for w in WRITE_FRAGMENTS])
+    fragment = access.rlike("|".join(WRITE_FRAGMENTS))
     return (
         F.when(access.isin(WRITE_WORDS) | action.isin(WRITE_WORDS), "WRITE")
         .when(access.isin(READ_WORDS) | action.isin(READ_WORDS), "READ")

@@ -13,20 +13,17 @@ def basename(c: Column | str) -> Column:
     return F.substring_index(col(c), "/", -1)
 
 
+# the last name of a path, with the slashes before it unless the path starts with them
+_LAST_NAME = r"(?:(?<=[^/])(/)/*)?[^/]+$"
+
+
 def parent_dir(c: Column | str) -> Column:
     """Directory of a path, with a closing slash; ``""`` if the path has none.
 
     A path that ends in a slash is a directory already. Doubled slashes before the
     last name collapse, unless the directory consists of slashes only.
     """
-    path = strip(or_empty(c))
-    head = F.left(path, F.length(path) - F.length(basename(path)))
-    bare = F.rtrim(head, F.lit("/"))
-    return (
-        F.when(path.endswith("/"), path)
-        .when(bare == "", head)
-        .otherwise(F.concat(bare, F.lit("/")))
-    )
+    return F.regexp_replace(strip(or_empty(c)), _LAST_NAME, "$1")
 
 
 def truncate_path(c: Column | str, depth: int) -> Column:

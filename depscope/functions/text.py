@@ -21,6 +21,18 @@ def strip(c: Column | str) -> Column:
     return F.trim(col(c), F.lit(WHITESPACE))
 
 
+def strip_line(c: Column | str) -> Column:
+    """``strip`` for JSON lines: trimming walks over the whole text, and few need it."""
+    c = col(c)
+    return F.when(c.startswith("{") & c.endswith("}"), c).otherwise(strip(c))
+
+
+def is_braced(c: Column | str) -> Column:
+    """True for a text that opens and closes with a brace, white space aside."""
+    text = strip_line(c)
+    return text.startswith("{") & text.endswith("}")
+
+
 def present(c: Column | str) -> Column:
     """The value, or null where it is an empty text."""
     return F.nullif(col(c), F.lit(""))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import col, or_empty, strip
+from .text import col, or_empty
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 # Numbers below this are seconds, others milliseconds; the range that
@@ -18,26 +18,39 @@ def iso(ts: Column | str) -> Column:
     return F.date_format(col(ts), ISO)
 
 
-def epoch_seconds(c: Column | str) -> Column:
-    """Epoch number as text (seconds or milliseconds) to seconds, else null.
+def epoch_number(c: Column | str) -> Column:
+    """Number in a text, else null.
 
-    JSON numbers with a fraction or exponent arrive as ``1.7E12`` and are cut to
-    whole numbers.
+    JSON numbers with a fraction or exponent arrive as ``1.7E12`` and are cut to whole
+    numbers.
     """
-    text = strip(col(c))
-    whole = F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
+    text = col(c)
+    # a failing cast is slow, so text that is no number is told apart first
+    whole = F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("bigint"))
     decimal = F.when(
         text.rlike(r"^-?[0-9]+\.[0-9]+(E-?[0-9]+)?$"), text.try_cast("double").try_cast("bigint"))
-    n = F.coalesce(whole, decimal)
+    return F.coalesce(whole, decimal)
+
+
+def number_seconds(n: Column | str) -> Column:
+    """Epoch seconds of a number in seconds or milliseconds; null outside four-digit years."""
+    n = col(n)
     seconds = F.when(n < SECONDS_BELOW, n).otherwise(F.call_function("div", n, F.lit(1000)))
-    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
+    return F.when(n.between(FIRST_SECOND, LAST_SECOND * 1000 + 999), seconds)
 
 
-def epoch_to_iso(c: Column | str) -> Column:
-    """Epoch text to ISO text; other text is kept, cut to 64; null gives ``""``."""
+def epoch_seconds(c: Column | str) -> Column:
+    return number_seconds(epoch_number(c))
+
+
+def epoch_to_iso(c: Column | str, seconds: Column | str | None = None) -> Column:
+    """Epoch text to ISO text; other text is kept, cut to 64; null gives ``""``.
+
+    ``seconds`` may hold the number if it is known already.
+    """
     c = col(c)
-    return F.coalesce(
-        iso(F.timestamp_seconds(epoch_seconds(c))), F.substring(c, 1, 64), F.lit(""))
+    known = epoch_seconds(c) if seconds is None else col(seconds)
+    return F.coalesce(iso(F.timestamp_seconds(known)), F.substring(c, 1, 64), F.lit(""))
 
 
 def ms_to_iso(ms: Column | str) -> Column:
@@ -70,10 +83,10 @@ def safe_ts(c: Column | str) -> Column:
 
 
 def parse_iso(c: Column | str) -> Column:
-    """ISO text with a closing ``Z`` to a timestamp; anything else is null."""
+    """Text of the form ``2024-01-31T13:30:00Z`` to a timestamp; anything else is null."""
     c = col(c)
-    shape = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}Z$"
-    return F.try_to_timestamp(F.when(c.rlike(shape), c), F.lit("yyyy-M-d'T'H:m:s'Z'"))
+    shape = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"
+    return F.try_to_timestamp(F.when(c.rlike(shape), c), F.lit(ISO))
 
 
 def date_to_ms(c: Column | str) -> Column:

@@ -164,14 +164,13 @@ def _(i):
     return kept.select(F.substring_index("request_data", " ", -1).cast("bigint").alias("event_id"), "access_type")
 
 
-@query("filter_json_shape", """select src as source_file, count(*) as json_lines, count(*) filter (event_id % 2 = 0)
+@query("filter_json_shape", """select src as source_file, count(*) as json_lines, count(*) filter (event_id % 20 = 0)
   as padded from (select src, event_id from v_audit union all
   select src, 1 as event_id from v_audit where event_id % 19 = 0 union all
   select src, 1 from v_audit where event_id % 29 = 0) group by src""", "audit")
 def _(i):
-    lines = i.audit_lines().withColumn("raw", F.col("line")).withColumn("line", fn.strip("line"))
-    return audit.keep_json_shape(lines).groupBy("source_file").agg(
-        F.count("*").alias("json_lines"), F.count_if(F.col("raw") != F.col("line")).alias("padded"))
+    return audit.keep_json_shape(i.audit_lines()).groupBy("source_file").agg(
+        F.count("*").alias("json_lines"), F.count_if(F.col("line") != fn.strip_line("line")).alias("padded"))
 
 
 # --- events ---
@@ -197,7 +196,7 @@ def _(i):
 
 @query("agg_summary", SUMMARY, "audit")
 def _(i):
-    return audit.summary(i.events())
+    return audit.summary(i.landed_events())
 
 
 @query("agg_dependency", dependency_sql(DAILY), "audit")

@@ -73,7 +73,7 @@ class Inputs:
             *spread("path", "resourcePath", "resourceName", "resource"),
             *spread("request", "requestData", "queryString", "sql"),
             *spread("app", "app", "yarnAppName", "sessionId"))
-        good = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("  "), F.to_json(record), F.lit(" \t"))
+        good = F.when(F.col("event_id") % 20 == 0, F.concat(F.lit("  "), F.to_json(record), F.lit(" \t"))
                       ).otherwise(F.to_json(record))
         n = F.col("event_id")
         extra = [

@@ -1 +1,265 @@
-"""Placeholder."""
+"""Lineage: catalog sources, joins, two-hop collapse, dedupe and graph tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import functions as fn, sinks, sources
+from ..operators import lineage, objects
+from .registry import query
+
+# --- the checking side ---
+
+QN = "coalesce(nullif(qn, ''), nullif(unique_qn, ''), '')"
+LAST_NAMES = f""", named as (select *, {QN} as q, row_number() over (partition by guid order by pos desc) as rn
+  from v_entities where {QN} <> ''), names as (select guid, q from named where rn = 1)
+"""
+SERVICE = """case type_name when 'hive_table' then 'hive' when 'hive_column' then 'hive' when 'hdfs_path' then 'hdfs'
+  when 'kudu_table' then 'kudu' when 'spark_application' then 'spark' when 'impala_db' then 'impala'
+  else case when contains(type_name, '_') then split_part(type_name, '_', 1) else 'unknown' end end"""
+OWNER = "coalesce(nullif(owner, ''), nullif(creator, ''), '')"
+NAME = f"coalesce(nullif(name, ''), nullif(display, ''), nullif({QN}, ''), guid)"
+OBJECTS = f"""select {SERVICE} as service, type_name as object_type, {QN} as object_id, {OWNER} as owner,
+  '' as "group", '' as extra from v_entities where {QN} <> ''"""
+# pairs of each process, and both directions of them in the order they are made
+PAIRS = """, ins as (select distinct payload_id, proc, proc_pos, guid, object_type, min(rel_pos) as rel_pos
+    from @V@ where role = 'in' group by 1, 2, 3, 4, 5),
+outs as (select distinct payload_id, proc, proc_pos, guid, object_type, min(rel_pos) as rel_pos
+    from @V@ where role = 'out' group by 1, 2, 3, 4, 5),
+pairs as (select i.payload_id, i.proc_pos, i.guid as src, i.object_type as src_type, i.rel_pos as src_pos,
+    o.guid as dst, o.object_type as dst_type, o.rel_pos as dst_pos
+  from ins i join outs o on i.payload_id = o.payload_id and i.proc = o.proc where i.guid <> o.guid),
+both_ways as (select payload_id, proc_pos, src_pos, dst_pos, 0 as dir, src as from_id, src_type as from_type,
+    dst as to_id, dst_type as to_type, 'WRITES_TO' as relation from pairs
+  union all select payload_id, proc_pos, src_pos, dst_pos, 1, dst, dst_type, src, src_type, 'READS_FROM' from pairs)
+"""
+PAIRS_LINKS = PAIRS.replace("@V@", "v_links")
+PAIRS_SUPPLY = PAIRS.replace("@V@", "v_supply_links")
+ROWS = """select from_type as from_object_type, from_id as from_object_id, to_type as to_object_type,
+  to_id as to_object_id, relation"""
+
+# the landed payloads: supplier and part feed each other; a returned item has a second process
+PAYLOAD_EDGES = LAST_NAMES + """, li as (select row_number() over () as payload, l_returnflag = 'R' as twice,
+    concat('s', cast(l_suppkey as varchar)) as s, concat('p', cast(l_partkey as varchar)) as p from lineitem),
+nm as (select payload, twice, s, p, coalesce(ns.q, 'own:' || s) as sn, coalesce(np.q, 'own:' || p) as pn
+  from li left join names ns on ns.guid = s left join names np on np.guid = p)
+"""
+TRIPLES = PAYLOAD_EDGES + """select 'hdfs_path' as from_object_type, sn as from_object_id, 'hive_table' as to_object_type,
+  pn as to_object_id, 'WRITES_TO' as relation from nm
+union all select 'hive_table', pn, 'hdfs_path', sn, 'READS_FROM' from nm
+union all select 'hive_table', pn, 'hdfs_path', sn, 'WRITES_TO' from nm where twice
+union all select 'hdfs_path', sn, 'hive_table', pn, 'READS_FROM' from nm where twice"""
+SINGLES = PAYLOAD_EDGES + """select 'hdfs_path' as from_object_type, sn as from_object_id,
+  'hive_table' as to_object_type, pn as to_object_id, 'WRITES_TO' as relation from nm
+union all select 'hive_table', pn, 'hdfs_path', sn, 'READS_FROM' from nm"""
+
+
+def _named_links(i):
+    return i.links().select(*lineage.LINK_COLUMNS, "name")
+
+
+def _dump_entities(i):
+    return sources.entities(i.spark, i.catalog_dump(), pattern="*.txt")
+
+
+def _dump_lineage(i):
+    return sources.lineage_payloads(i.spark, i.catalog_dump(), pattern="*.txt")
+
+
+# --- sources ---
+
+@query("scan_entities_jsonl", f"select guid, type_name as \"typeName\", {QN} as qn, {OWNER} as owner from v_entities",
+       "entities")
+def _(i):
+    e = F.struct(*objects.ENTITY_STRUCT)
+    return _dump_entities(i).select(
+        "guid", "typeName", fn.pick_qualified_name(e).alias("qn"), fn.pick_owner(e).alias("owner"))
+
+
+@query("scan_lineage_jsonl", """select concat('s', cast(l_suppkey as varchar)) as seed,
+  cast(case when l_returnflag = 'R' then 8 else 6 end as bigint) as relations, cast(5 as bigint) as entities
+  from lineitem""")
+def _(i):
+    return _dump_lineage(i).select(
+        F.col("seedGuid").alias("seed"), F.size("lineage.relations").cast("bigint").alias("relations"),
+        F.size("lineage.guidEntityMap").cast("bigint").alias("entities"))
+
+
+def _search_pages(i):
+    """Landed search pages: each catalog record with its repetition as one page of its type."""
+    def write(path):
+        e = i.entities()
+        hit = F.struct("guid", "typeName", "attributes", "uniqueAttributes")
+        nameless = F.struct(
+            F.lit("").alias("guid"), "typeName", "attributes", "uniqueAttributes")
+        pages = e.select(
+            F.col("typeName").alias("t"), F.array(hit, nameless, hit).alias("entities"),
+            F.lit(3).cast("bigint").alias("approximateCount"))
+        pages.write.partitionBy("t").json(path)
+    path = i.landed("search", write)
+    return i.spark.read.schema("entities array<struct<guid:string>>, approximateCount bigint, t string").json(path) \
+        .select("entities", F.col("t").alias("search_type"), F.lit(0).alias("pos"))
+
+
+@query("scan_search_results", """select type_name as search_type, guid from v_entities union all
+  select type_name, guid from v_entities""", "entities")
+def _(i):
+    return objects.search_hits(_search_pages(i), "search_type").select("search_type", "guid")
+
+
+@query("agg_guids_by_type", "select distinct type_name as search_type, guid from v_entities", "entities")
+def _(i):
+    hits = objects.search_hits(_search_pages(i), "search_type")
+    return objects.guids_by_type(hits, "search_type", ["pos", "hit_no"]).select("search_type", "guid")
+
+
+# --- entities ---
+
+@query("entity_to_object", OBJECTS, "entities")
+def _(i):
+    return objects.from_entities(i.entities())
+
+
+@query("filter_missing_qn", f"select guid, {QN} as qn from v_entities where {QN} <> ''", "entities")
+def _(i):
+    qn = fn.pick_qualified_name(F.struct(*objects.ENTITY_STRUCT))
+    return i.entities().select("guid", qn.alias("qn")).filter(F.col("qn") != "")
+
+
+NODES = f""", r as (select *, row_number() over (partition by guid order by pos desc) as rn from v_entities)
+  select guid, type_name as "typeName", {QN} as "qualifiedName", {NAME} as name from r where rn = 1"""
+
+
+@query("entity_to_node", NODES, "entities")
+def _(i):
+    return lineage.vertices(i.entities()).drop("raw")
+
+
+@query("fn_type_to_service", f"select guid, {SERVICE} as service from v_entities", "entities")
+def _(i):
+    return i.entities().select("guid", fn.type_to_service("typeName").alias("service"))
+
+
+def _entity_scalar(name, sql, pick):
+    @query(name, f"select guid, pos, {sql} as picked from v_entities", "entities")
+    def _(i):
+        e = F.struct(*objects.ENTITY_STRUCT)
+        return i.entities().select("guid", "pos", pick(e).alias("picked"))
+
+
+_entity_scalar("fn_pick_qualified_name", QN, fn.pick_qualified_name)
+_entity_scalar("fn_pick_owner", OWNER, fn.pick_owner)
+_entity_scalar("fn_pick_name", NAME, fn.pick_name)
+
+
+@query("fn_json_trim", """select guid, pos, substr('{"guid":"' || guid || '","type_name":"' || type_name || '"}', 1, 40)
+  as raw from v_entities""", "entities")
+def _(i):
+    return i.view("entities").select(
+        "guid", "pos", fn.json_trim(F.struct("guid", "type_name"), 40).alias("raw"))
+
+
+# --- joins ---
+
+@query("join_guid_to_name", LAST_NAMES + """select l.payload_id, l.role, l.guid, coalesce(n.q, l.guid) as name
+  from v_supply_links l left join names n on n.guid = l.guid""", "entities", "supply_links")
+def _(i):
+    links = i.links("supply_links").drop("name")
+    named = lineage.with_names(links, lineage.name_map(i.entities()))
+    return named.select("payload_id", "role", "guid", "name")
+
+
+@query("join_lineage_two_hop", PAIRS_SUPPLY + "select distinct from_id as src, to_id as dst, relation as rel from both_ways",
+       "supply_links")
+def _(i):
+    return lineage.edges_by_guid(i.links("supply_links"))
+
+
+@query("join_process_filter", """with n as (select count(*) as c, count(*) filter (l_returnflag = 'R') as r from lineitem)
+  select 'in' as role, cast(2 * c + r as bigint) as links from n union all
+  select 'out', cast(2 * c + r as bigint) from n""")
+def _(i):
+    return lineage.links(i.payloads()).groupBy("role").agg(F.count("*").alias("links"))
+
+
+@query("join_edges_to_nodes", PAIRS_SUPPLY + """select distinct from_id as src, to_id as dst, relation as rel
+  from both_ways where from_id in (select guid from v_entities) and to_id in (select guid from v_entities)""",
+       "supply_links", "entities")
+def _(i):
+    edges = lineage.edges_by_guid(i.links("supply_links"))
+    return lineage.connected_edges(edges, i.entities())
+
+
+# --- collapse and dedupe ---
+
+@query("lineage_collapse_triple", TRIPLES, "entities")
+def _(i):
+    return lineage.collapse(_dump_lineage(i), _dump_entities(i)).drop("payload_id")
+
+
+@query("lineage_collapse_pair", SINGLES, "entities")
+def _(i):
+    return lineage.collapse(_dump_lineage(i), _dump_entities(i), dedupe="pair").drop("payload_id")
+
+
+@query("dedup_lineage_pair", PAIRS_LINKS + """, r as (select *, row_number() over (partition by payload_id, from_id, to_id
+    order by proc_pos, src_pos, dst_pos, dir) as rn from both_ways)
+select payload_id, """ + ROWS[7:] + " from r where rn = 1", "links")
+def _(i):
+    return lineage.edges_from_links(_named_links(i), dedupe="pair")
+
+
+@query("dedup_lineage_triple", PAIRS_LINKS + "select distinct payload_id, " + ROWS[7:] + " from both_ways", "links")
+def _(i):
+    return lineage.edges_from_links(_named_links(i), dedupe="triple")
+
+
+@query("filter_self_edge", PAIRS_LINKS + "select distinct payload_id, src as src_guid, dst as dst_guid from pairs",
+       "links")
+def _(i):
+    links = lineage.distinct_links(_named_links(i))
+    return lineage.two_hop(links).select("payload_id", "src_guid", "dst_guid").distinct()
+
+
+# --- sinks ---
+
+@query("sink_lineage_csv", PAIRS_LINKS + "select distinct " + ROWS[7:] + ", payload_id from both_ways", "links")
+def _(i):
+    path = i.scratch("lineage_csv")
+    edges = lineage.edges_from_links(_named_links(i))
+    # the payload number is written in place of a type, so that the check can count rows
+    numbered = edges.withColumn("from_object_type", F.concat_ws("#", "from_object_type", "payload_id"))
+    sinks.write_lineage(numbered, path)
+    back = i.spark.read.options(header="true", escape='"', lineSep="\r\n").csv(path)
+    kind = F.split("from_object_type", "#")
+    return back.withColumn("payload_id", kind[1].cast("bigint")).withColumn("from_object_type", kind[0])
+
+
+@query("sink_jsonl_by_type", """select guid, type_name as "typeName", count(*) as records from v_entities group by all""",
+       "entities")
+def _(i):
+    path = i.scratch("entities_by_type")
+    sinks.write_json_by_type(i.entities().drop("pos"), path)
+    back = i.spark.read.schema("guid string, typeName string").json(path)
+    return back.groupBy("guid", "typeName").agg(F.count("*").alias("records"))
+
+
+@query("sink_graph_nodes", NODES, "entities")
+def _(i):
+    path = i.scratch("graph")
+    nodes = lineage.vertices(i.entities())
+    # a second load of the same records changes nothing
+    loaded = sinks.upsert_vertices(nodes, lineage.vertices(i.entities()))
+    sinks.write_graph(loaded, i.spark.createDataFrame([], "src string, dst string, rel string"), path)
+    return i.spark.read.parquet(f"{path}/vertices").drop("raw")
+
+
+@query("sink_graph_edges", PAIRS_SUPPLY + """select distinct from_id as src, to_id as dst, relation as rel
+  from both_ways where from_id in (select guid from v_entities) and to_id in (select guid from v_entities)""",
+       "supply_links", "entities")
+def _(i):
+    path = i.scratch("graph")
+    nodes = lineage.vertices(i.entities())
+    edges = sinks.upsert_edges(None, lineage.edges_by_guid(i.links("supply_links")), nodes)
+    sinks.write_graph(nodes, edges, path)
+    return i.spark.read.schema("src string, dst string, rel string").parquet(f"{path}/edges")
