@@ -124,11 +124,17 @@ ENTITY = T.StructType([
     T.StructField("uniqueAttributes", _struct("qualifiedName")),
 ])
 RELATION = _struct("fromEntityId", "toEntityId")
+# what lineage needs of the entities named in a payload
+LINEAGE_ENTITY = T.StructType([
+    T.StructField("typeName", T.StringType()),
+    T.StructField("attributes", _struct("qualifiedName")),
+    T.StructField("uniqueAttributes", _struct("qualifiedName")),
+])
 LINEAGE = T.StructType([
     T.StructField("seedGuid", T.StringType()),
     T.StructField("typeName", T.StringType()),
     T.StructField("lineage", T.StructType([
-        T.StructField("guidEntityMap", T.MapType(T.StringType(), ENTITY)),
+        T.StructField("guidEntityMap", T.MapType(T.StringType(), LINEAGE_ENTITY)),
         T.StructField("relations", T.ArrayType(RELATION)),
     ])),
 ])

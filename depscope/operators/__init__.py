@@ -1 +1,5 @@
-"""DataFrame-to-DataFrame operators. Nothing here collects or runs an action."""
+"""DataFrame-to-DataFrame operators. Nothing here collects.
+
+Only ``lineage.collapse`` and ``lineage.graph`` run jobs on their own: they store the
+links they read several times.
+"""

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import functions as fn
 from ..model import LINEAGE_COLUMNS
-from .dedupe import first_per_key, last_per_key
+from ..session import store
+from .dedupe import last_per_key
 from .objects import ENTITY_STRUCT
 from .skew import skew_join
 
@@ -26,27 +27,36 @@ def links(payloads: DataFrame) -> DataFrame:
     name of the entity, and the kind of the middle node, are looked up in the entity map
     of the payload's own row, so the process filter needs no join.
     """
-    entities = F.col("lineage.guidEntityMap")
-    relations = payloads.select(
-        "payload_id", entities.alias("entities"),
-        F.posexplode("lineage.relations").alias("rel_pos", "rel"))
-    source, target = F.col("rel.fromEntityId"), F.col("rel.toEntityId")
-    complete = relations.filter((fn.or_empty(source) != "") & (fn.or_empty(target) != ""))
-
-    def side(role: str, proc: Column, other: Column) -> Column:
-        entity = F.col("entities")[other]
+    slim = F.transform_values("lineage.guidEntityMap", lambda _, e: F.struct(
+        fn.or_empty(e["typeName"]).alias("object_type"),
+        fn.pick_qualified_name(e).alias("own_name")))
+    # through a generator, which keeps the map from being rebuilt for every use of it
+    facts = payloads.select("payload_id", F.inline(F.array(F.struct(
+        F.col("lineage.relations").alias("relations"), slim.alias("entities")))))
+    processes = facts.withColumn("processes", F.map_keys(
+        F.map_filter("entities", lambda _, e: is_process(e["object_type"]))))
+
+    # worked out within the row: exploding first would copy the entity map to every relation
+    def side(role: str, proc: Column, guid: Column, pos: Column) -> Column:
         return F.struct(
-            proc.alias("proc"),
-            F.array_position(F.map_keys("entities"), proc).alias("proc_pos"),
-            is_process(F.col("entities")[proc]["typeName"]).alias("is_process"),
-            F.lit(role).alias("role"),
-            other.alias("guid"),
-            fn.or_empty(entity["typeName"]).alias("object_type"),
-            fn.pick_qualified_name(entity).alias("own_name"))
-
-    both = complete.select("payload_id", "rel_pos", F.inline(
-        F.array(side("in", target, source), side("out", source, target))))
-    return both.filter("is_process").select(*LINK_COLUMNS)
+            proc.alias("proc"), F.array_position("processes", proc).cast("int").alias("proc_pos"),
+            F.lit(role).alias("role"), pos.alias("rel_pos"), guid.alias("guid"))
+
+    def sides(rel: Column, pos: Column) -> Column:
+        source, target = fn.or_empty(rel["fromEntityId"]), fn.or_empty(rel["toEntityId"])
+        return F.array(side("in", target, source, pos), side("out", source, target, pos))
+
+    at_process = F.filter(
+        F.flatten(F.transform("relations", sides)),
+        lambda s: (s["proc_pos"] > 0) & (s["guid"] != ""))
+    with_entity = F.transform(
+        at_process, lambda s: F.struct(s.alias("side"), F.col("entities")[s["guid"]].alias("entity")))
+    # an outer explode: for an inner one the optimizer adds a size test, and with it a second
+    # evaluation of the whole expression
+    linked = processes.select("payload_id", F.explode_outer(with_entity).alias("link"))
+    return linked.filter(F.col("link").isNotNull()).select(
+        "payload_id", "link.side.*", fn.or_empty("link.entity.object_type").alias("object_type"),
+        fn.or_empty("link.entity.own_name").alias("own_name")).select(*LINK_COLUMNS)
 
 
 def name_map(entities: DataFrame) -> DataFrame:
@@ -70,10 +80,11 @@ def two_hop(links: DataFrame) -> DataFrame:
     """entity → process → entity: every input of a process with every output of it."""
     def side(role: str, prefix: str) -> DataFrame:
         kept = links.filter(F.col("role") == role).drop("role")
-        shared = ("payload_id", "proc")
-        drop = () if role == "in" else ("proc_pos",)
-        return kept.drop(*drop).withColumnsRenamed({
-            c: f"{prefix}_{c}" for c in kept.columns if c not in (*shared, "proc_pos")})
+        if role == "out":
+            kept = kept.drop("proc_pos")  # the input side has it already
+        shared = ("payload_id", "proc", "proc_pos")
+        return kept.withColumnsRenamed({
+            c: f"{prefix}_{c}" for c in kept.columns if c not in shared})
 
     pairs = skew_join(side("in", "src"), side("out", "dst"), ["payload_id", "proc"])
     return pairs.filter(F.col("src_guid") != F.col("dst_guid"))
@@ -97,8 +108,13 @@ def both_directions(pairs: DataFrame) -> DataFrame:
 
 
 def distinct_links(links: DataFrame) -> DataFrame:
-    """One link per payload, process, side and entity; fewer links make fewer pairs."""
-    return first_per_key(links, ["payload_id", "proc", "role", "guid"], ["rel_pos"])
+    """One link per payload, process, side and entity; fewer links make fewer pairs.
+
+    Everything but the position depends on the entity, so it can be part of the key and
+    the aggregate stays a hash aggregate.
+    """
+    keys = [c for c in links.columns if c != "rel_pos"]
+    return links.groupBy(*keys).agg(F.min("rel_pos").alias("rel_pos"))
 
 
 def collapse(payloads: DataFrame, entities: DataFrame, dedupe: str = "triple") -> DataFrame:
@@ -106,8 +122,12 @@ def collapse(payloads: DataFrame, entities: DataFrame, dedupe: str = "triple") -
 
     ``triple`` keeps one row per (from, to, relation). ``pair`` keeps one row per
     (from, to), whichever relation comes first, as the CSV export has it.
+
+    The links are stored before and after they get their names: the joins read them
+    several times, and the payload texts are parsed once only.
     """
-    return edges_from_links(with_names(distinct_links(links(payloads)), name_map(entities)), dedupe)
+    found = store(distinct_links(links(payloads)), "links")
+    return edges_from_links(store(with_names(found, name_map(entities)), "named_links"), dedupe)
 
 
 def edges_from_links(named: DataFrame, dedupe: str = "triple") -> DataFrame:
@@ -159,15 +179,30 @@ def vertices(entities: DataFrame) -> DataFrame:
 
 def edges_by_guid(links: DataFrame) -> DataFrame:
     """Distinct (src, dst, rel) between guids, over all payloads."""
-    slim = distinct_links(links.select("payload_id", "proc", "proc_pos", "role", "rel_pos", "guid"))
+    slim = links.select("payload_id", "proc", "role", "guid").distinct()
     pairs = two_hop(slim).select("src_guid", "dst_guid").distinct()
     return both_directions(pairs).select(
         F.col("from_guid").alias("src"), F.col("to_guid").alias("dst"), "rel")
 
 
+def connected_links(links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links whose entity is a known node.
+
+    An edge has both ends in the graph exactly if both of its links do. Links grow with
+    the input and edges with its square, so the test belongs here.
+    """
+    return skew_join(links, nodes.select("guid").distinct(), ["guid"], "left_semi")
+
+
+def graph(payloads: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges between known nodes, from payloads. The links are stored on the way."""
+    slim = links(payloads).select("payload_id", "proc", "role", "guid").distinct()
+    return edges_by_guid(store(connected_links(store(slim, "links"), nodes), "graph_links"))
+
+
 def connected_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges whose both ends are known nodes."""
+    """Given edges whose both ends are known nodes. A hub is split by the adaptive join."""
     guids = nodes.select("guid").distinct()
     for end in ("src", "dst"):
-        edges = skew_join(edges, guids.withColumnRenamed("guid", end), [end], "left_semi")
+        edges = edges.join(guids.withColumnRenamed("guid", end), end, "left_semi")
     return edges.select("src", "dst", "rel")

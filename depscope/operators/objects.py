@@ -83,7 +83,8 @@ def from_kudu(
     owner: Column | str = ""
     if described is not None:
         owners = last_per_key(described.select("table_name", "owner", "pos"), ["table_name"], ["pos"])
-        tables = skew_join(tables, owners.select("table_name", "owner"), ["table_name"], "left")
+        # names are unique on both sides, so no key of this join is hot
+        tables = tables.join(owners.select("table_name", "owner"), "table_name", "left")
         owner = fn.or_empty("owner")
     return tables.select(*object_row("kudu", "kudu_table", F.col("table_name"), owner))
 

@@ -2,46 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql import types as T
 
-# A key counts as hot above 1/HOT_SHARE of the left rows, so there are fewer than
-# HOT_SHARE hot keys whatever the input size. Each is split into SALTS parts.
+# A key is hot above 1/HOT_SHARE of the left rows. There are fewer than HOT_SHARE such
+# keys whatever the input size, so their list fits the driver and every task.
 HOT_SHARE = 200
-SALTS = 32
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
-def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """One row: the hashes of all keys above the hot share (an array, bounded in size).
+def hot_keys(df: DataFrame, on: list[str]) -> dict[int, float]:
+    """Key hash → share of the rows, for the hot keys. Runs one job over the key columns.
 
-    Counts are exact, so every evaluation gives the same keys: both sides of the join
-    must agree on them.
+    Counts combine on the map side; at most ``HOT_SHARE`` counts reach the driver.
     """
     counts = df.groupBy(F.xxhash64(*on).alias("h")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.filter(F.col("n") * HOT_SHARE > total).agg(F.collect_list("h").alias("hot"))
+    seen = Observation()
+    top = counts.observe(seen, F.sum("n").alias("total")).orderBy(F.desc("n")).limit(HOT_SHARE).collect()
+    total = (seen.get["total"] or 0) if top else 0
+    return {row.h: row.n / total for row in top if row.n * HOT_SHARE > total}
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join where ``left`` (and for inner joins also ``right``) may have hot keys.
+    """Join where ``left`` (for inner joins also ``right``) may have hot keys.
 
-    Rows of a hot key are spread over salts on the left and repeated for every salt on
-    the right. All other rows keep salt 0 and move once, so the right side grows only
-    by the copies of the few hot keys. ``how``: inner, left, left_semi or left_anti.
+    Rows of a hot key are spread over as many parts as their share of the shuffle
+    partitions, and their matches on the right are repeated for each part. All other rows
+    move once, under part 0. Without hot keys this is a plain join. ``how``: inner, left,
+    left_semi or left_anti.
     """
-    hot = F.coalesce(hot_keys(left, on).scalar(), F.array().cast("array<bigint>"))
-    is_hot: Column = F.array_contains(hot, F.xxhash64(*on))
-    spread = F.pmod(F.xxhash64(*_hashable(left)) + F.spark_partition_id(), F.lit(SALTS))
-    salted = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)).cast("int"))
-    copies = (
-        right.withColumn("_hot", is_hot)
-        .withColumn("_salt", F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
-            .otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    if any(left.schema[k].dataType != right.schema[k].dataType for k in on):
+        raise TypeError(f"key types differ, so their hashes would: {on}")
+    shares = hot_keys(left, on)
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = {h: math.ceil(share * partitions) for h, share in shares.items()}
+    parts = {h: n for h, n in parts.items() if n > 1}
+    if not parts:
+        return left.join(right, on, how)
+    key = F.xxhash64(*on)
+    entries = [F.lit(v) for pair in parts.items() for v in pair]
+    parts_of: Column = F.when(key.isin(*parts), F.create_map(*entries)[key]).otherwise(F.lit(1))
+    # the task number also spreads rows that are copies of each other
+    spread = F.xxhash64(*_hashable(left)) + F.spark_partition_id()
+    salted = left.withColumn("_part", F.pmod(spread, parts_of).cast("int"))
+    copies = right.withColumn("_part", F.explode(F.sequence(F.lit(0), parts_of - 1)))
+    return salted.join(copies, [*on, "_part"], how).drop("_part")

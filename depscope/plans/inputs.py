@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import audit
+from ..operators.lineage import distinct_links
 from ..session import scratch_path
 from .views import spark_view
 
@@ -203,7 +204,11 @@ class Inputs:
                      F.monotonically_increasing_id()).alias("payload_id"))
 
     def links(self, view: str = "links") -> DataFrame:
-        return self.view(view).withColumn("own_name", F.col("guid")).withColumn("name", F.col("guid"))
+        """Links as a first job leaves them: distinct and stored."""
+        def write(path):
+            distinct_links(self.view(view)).write.parquet(path)
+        found = self.spark.read.parquet(self.landed(view, write))
+        return found.withColumn("own_name", F.col("guid")).withColumn("name", F.col("guid"))
 
     # --- histories ---
 

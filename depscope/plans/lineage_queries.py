@@ -161,12 +161,12 @@ def _(i):
 
 # --- joins ---
 
-@query("join_guid_to_name", LAST_NAMES + """select l.payload_id, l.role, l.guid, coalesce(n.q, l.guid) as name
+@query("join_guid_to_name", LAST_NAMES + """select distinct l.payload_id, l.proc, l.role, l.guid, coalesce(n.q, l.guid) as name
   from v_supply_links l left join names n on n.guid = l.guid""", "entities", "supply_links")
 def _(i):
     links = i.links("supply_links").drop("name")
     named = lineage.with_names(links, lineage.name_map(i.entities()))
-    return named.select("payload_id", "role", "guid", "name")
+    return named.select("payload_id", "proc", "role", "guid", "name").distinct()
 
 
 @query("join_lineage_two_hop", PAIRS_SUPPLY + "select distinct from_id as src, to_id as dst, relation as rel from both_ways",
@@ -186,8 +186,7 @@ def _(i):
   from both_ways where from_id in (select guid from v_entities) and to_id in (select guid from v_entities)""",
        "supply_links", "entities")
 def _(i):
-    edges = lineage.edges_by_guid(i.links("supply_links"))
-    return lineage.connected_edges(edges, i.entities())
+    return lineage.edges_by_guid(lineage.connected_links(i.links("supply_links"), i.entities()))
 
 
 # --- collapse and dedupe ---
@@ -217,8 +216,7 @@ def _(i):
 @query("filter_self_edge", PAIRS_LINKS + "select distinct payload_id, src as src_guid, dst as dst_guid from pairs",
        "links")
 def _(i):
-    links = lineage.distinct_links(_named_links(i))
-    return lineage.two_hop(links).select("payload_id", "src_guid", "dst_guid").distinct()
+    return lineage.two_hop(_named_links(i)).select("payload_id", "src_guid", "dst_guid").distinct()
 
 
 # --- sinks ---
@@ -260,6 +258,8 @@ def _(i):
 def _(i):
     path = i.scratch("graph")
     nodes = lineage.vertices(i.entities())
-    edges = sinks.upsert_edges(None, lineage.edges_by_guid(i.links("supply_links")), nodes)
+    new = lineage.edges_by_guid(lineage.connected_links(i.links("supply_links"), nodes))
+    # loading the same edges again changes nothing
+    edges = sinks.upsert_edges(new, new, nodes)
     sinks.write_graph(nodes, edges, path)
     return i.spark.read.schema("src string, dst string, rel string").parquet(f"{path}/edges")

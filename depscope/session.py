@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results (UTC) or that every job here wants (AQE, hive-style
 # partition overwrite). All can be set on a running session.
@@ -52,3 +52,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="depscope-")
         context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/depscope/{uuid.uuid4().hex}/{name}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several later steps read, and go on from the written table.
+
+    Survives lost executors, and later steps neither repeat the work nor read columns
+    they do not need. Runs a job.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

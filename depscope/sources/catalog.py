@@ -12,7 +12,7 @@ from .position import position
 def _json_lines(spark: SparkSession, folder: str, schema, pattern: str) -> DataFrame:
     """Records of the JSON-lines files of a folder, with their landed text as ``raw``."""
     text = spark.read.option("pathGlobFilter", pattern).text(folder)
-    located = text.select(fn.strip("value").alias("raw"), position().alias("pos"))
+    located = text.select(fn.strip_line("value").alias("raw"), position().alias("pos"))
     return located.filter(F.col("raw") != "").select(
         "raw", "pos", F.inline(F.array(F.from_json("raw", schema))))
 
