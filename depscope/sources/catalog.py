@@ -92,7 +92,12 @@ def live_hive_listing(spark: SparkSession, databases: list[str] | None = None) -
 def live_describe(spark: SparkSession, db: str, tbl: str) -> DataFrame:
     """Description lines of one table of the session's catalog, tab-separated."""
     facts = spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{tbl}`")
+    # this catalog's words for two of the keys; a Hive table also has its own input format,
+    # which comes later and wins
+    key = (
+        F.when(F.col("col_name") == "Type", "Table Type")
+        .when(F.col("col_name") == "Provider", "InputFormat").otherwise(F.col("col_name")))
     return facts.select(
         F.lit(db).alias("db"), F.lit(tbl).alias("tbl"),
         F.monotonically_increasing_id().alias("line_no"),
-        F.concat_ws("\t", "col_name", "data_type").alias("line"))
+        F.concat_ws("\t", key, "data_type").alias("line"))
