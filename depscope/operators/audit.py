@@ -27,14 +27,19 @@ def parse(lines: DataFrame, skip_nonjson: bool = True) -> DataFrame:
     the line is bad JSON. Parsing is strict: the line is read
     as the only element of an array, so text after the object makes it bad.
     """
-    carried = [c for c in lines.columns if c != "line"]
     kept = keep_json_shape(lines) if skip_nonjson else lines.filter(fn.strip_line("line") != "")
-    wrapped = F.concat(F.lit("["), fn.strip_line("line"), F.lit("]"))
+    return _read(kept, F.col("line"))
+
+
+def _read(lines: DataFrame, text: Column) -> DataFrame:
+    """Add ``record`` from a JSON text, in place of ``line``; null text gives none."""
+    carried = [c for c in lines.columns if c != "line"]
+    wrapped = F.concat(F.lit("["), fn.strip_line(text), F.lit("]"))
     objects = F.from_json(wrapped, T.ArrayType(AUDIT_JSON), {"allowSingleQuotes": "false"})
     # The spellings are merged before the record leaves the parser, and the generator keeps
     # later filters above it, so each line is parsed once and 14 fields move instead of 55.
     records = F.transform(objects, _merge_spellings).alias("records")
-    parsed = kept.select(*carried, F.inline(F.array(F.struct(records))))
+    parsed = lines.select(*carried, F.inline(F.array(F.struct(records))))
     only = F.when(F.size("records") == 1, F.lit(0))
     return parsed.select(*carried, F.get("records", only).alias("record"))
 
@@ -103,17 +108,20 @@ def event_rows(df: DataFrame) -> DataFrame:
 
 
 def counters(lines: DataFrame, skip_nonjson: bool = True) -> DataFrame:
-    """One row: files, events, filtered and bad_json of a run."""
-    df = resource_of(parse(lines, skip_nonjson))
+    """One row: files, events, filtered and bad_json of a run.
+
+    One scan: lines that the parser skips stay in, so that their files are counted too.
+    """
+    tried = fn.is_braced("line") if skip_nonjson else fn.strip_line("line") != ""
+    marked = lines.select("source_file", tried.alias("tried"), "line")
+    df = resource_of(_read(marked, F.when(F.col("tried"), F.col("line"))))
     good = F.col("record").isNotNull()
     noise = good & fn.is_noise("resource")
-    # the number of files is counted over all lines, before any is dropped
-    files = lines.select("source_file").distinct().agg(F.count("*").alias("files"))
-    return df.agg(
-        F.count_if(good & ~noise).alias("events"),
-        F.count_if(noise).alias("filtered"),
-        F.count_if(~good).alias("bad_json"),
-    ).withColumn("files", files.scalar())
+    per_file = df.groupBy("source_file").agg(
+        F.count_if(good & ~noise).alias("events"), F.count_if(noise).alias("filtered"),
+        F.count_if(F.col("tried") & ~good).alias("bad_json"))
+    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("events", "filtered", "bad_json")]
+    return per_file.agg(*totals, F.count("*").alias("files"))
 
 
 def _first_seen(c: str):

@@ -14,6 +14,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # The JVM never compiles methods above 8000 bytes. Wide projections (one audit record
     # has 55 spellings) are then run by the generated projections, which are split up.
     "spark.sql.codegen.hugeMethodLimit": "8000",

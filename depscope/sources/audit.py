@@ -99,7 +99,8 @@ def audit_lines(
 def first_files(spark: SparkSession, folders: list[str], n: int) -> DataFrame:
     """First ``n`` files in order of service, date folder and name; contents are not read."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
-    return listing.select("path").orderBy("path").limit(n)
+    # by path components: as one text, a service "a-b" would come before "a"
+    return listing.select("path").orderBy(F.split("path", "/")).limit(n)
 
 
 def flat_audit(spark: SparkSession, *paths: str) -> DataFrame:
