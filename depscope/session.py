@@ -44,12 +44,14 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one the cluster names for checkpoints.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests, laptops) a local
-    temporary folder is used, and recorded in the context for later calls.
+    Only a local session without ``spark.checkpoint.dir`` (tests, laptops) gets a
+    temporary folder, recorded in the context for later calls.
     """
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="depscope-")
         context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/depscope/{uuid.uuid4().hex}/{name}"
