@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import functions as fn
-from ..model import LINEAGE_COLUMNS
 from ..session import store
 from .dedupe import last_per_key
 from .objects import ENTITY_STRUCT
