@@ -59,3 +59,12 @@ def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.Reco
         held += size + 1
     if start < len(sizes):
         yield batch.slice(start)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """The frame marked for broadcast if it holds at most ``max_rows`` rows, else as it is.
+
+    Counting is a job; give a frame that is stored. Rows must be of bounded width.
+    """
+    few = df.select(F.lit(1)).limit(max_rows + 1).agg(F.count("*").alias("n")).first().n <= max_rows
+    return F.broadcast(df) if few else df

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import bpe, counts
+from . import bpe, counts, decontaminate, lines, quality, shards, simhash
 from .common import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,31 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = counts.load_model(public_tokenizers.path(PIECE_FILE))
     return counts.token_counts(table(spark, sf_dir, "documents"), model)
+
+
+@query("op2_line_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "source", "n_lines", "n_dropped", "text")
+
+
+@query("op5_simhash_groups")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.assess(docs, [docs.doc_id])
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
+@query("op9_label_shards")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_documents(table(spark, sf_dir, "documents"))
