@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import bpe, counts, decontaminate, lines, quality, shards, simhash
+from . import bpe, counts, decontaminate, extract, lines, quality, quotes, shards, simhash
 from .common import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_label_shards")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op4_chat_replies")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+@query("op10_main_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
