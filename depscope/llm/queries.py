@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import bpe, counts, decontaminate, extract, lines, quality, quotes, shards, simhash
-from .common import table
+from . import bpe, counts, decontaminate, extract, lines, quality, quotes, shards, simhash, suffixes
+from .common import importable, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _CHECKS: dict[str, str] = {}
@@ -17,7 +17,7 @@ _CHECKS: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        _QUERIES[name] = lambda spark, sf_dir: build(configure(spark), sf_dir)
+        _QUERIES[name] = lambda spark, sf_dir: build(importable(configure(spark)), sf_dir)
         if sql is not None:
             _CHECKS[name] = sql
         return build
@@ -85,3 +85,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_main_text")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
