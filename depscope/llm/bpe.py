@@ -171,9 +171,9 @@ def decode(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, ids array<int>, data binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Counts and digests of ids and bytes, as decimal ids joined by commas and as they are."""
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, ``more``, counts and digests: of decimal ids joined by commas, and of the bytes."""
     return decoded.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        "doc_id", *more, F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("data", 256).alias("decoded_sha256"))

@@ -85,10 +85,12 @@ def links(messages: DataFrame) -> DataFrame:
     writers = originals(messages, wanted).withColumnRenamed("first_turn", "writer")
     found = wanted.join(writers, ["conv", "no_conv", "hash"], "left").withColumn(
         "writer", F.when(F.col("writer") < F.col("turn"), F.col("writer")))
-    one = found.groupBy(*_KEY, "level", "at").agg(F.min_by("writer", F.when(F.col("writer").isNotNull(), F.col("by_line"))).alias("writer"))
-    rank = F.when(F.col("writer").isNotNull(), F.struct("level", "at"))
+    # as a whole before by line, outermost first, then the earliest writer
+    known = F.col("writer").isNotNull()
+    one = found.groupBy(*_KEY, "level", "at").agg(F.min(F.when(known, F.struct("by_line", "writer")))["writer"].alias("writer"))
     return store(one.groupBy(*_KEY).agg(
-        F.count("*").alias("n_quotes"), F.count("writer").alias("n_linked"), F.min_by("writer", rank).alias("linked_turn")), "links")
+        F.count("*").alias("n_quotes"), F.count("writer").alias("n_linked"),
+        F.min(F.when(known, F.struct("level", "at", "writer")))["writer"].alias("linked_turn")), "links")
 
 
 def reply_ordered(conversations: DataFrame) -> DataFrame:
@@ -96,7 +98,8 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
 
     ``text`` is the message's own text, without quotes. ``reply_to`` is the turn it replies to:
     only earlier turns are linked, so that ``position`` (0, 1, 2 … by turn, then role and text)
-    puts every message behind the one it replies to. The first message replies to none.
+    puts every message behind the one it replies to. The first message replies to none. Ties of
+    turn and role go by text.
 
     Null ids form one conversation; messages without a turn come first and are never linked.
     Null and empty texts stay as they are. Repeated messages keep their rows. Columns other
@@ -113,7 +116,7 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
         *_KEY, own_text(F.col("text")).alias("text"), "n_quotes", "n_linked", "linked_turn",
         F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 60))).alias("block"))
     group = ["conv", "no_conv"]
-    inside = Window.partitionBy(*group, "block").orderBy("turn", "role", "text_key")
+    inside = Window.partitionBy(*group, "block").orderBy("turn", "role", "text", "text_key")
     numbered = known.withColumns({"k": F.row_number().over(inside) - 1, "before": F.lag("turn").over(inside)})
     # the same key columns without texts: a row for each block
     blocks = messages.select(*group, "turn", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 60))).alias("block"))
