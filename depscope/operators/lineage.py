@@ -8,7 +8,7 @@ from .. import functions as fn
 from ..session import store
 from .dedupe import last_per_key
 from .objects import ENTITY_STRUCT
-from .skew import skew_join
+from .skew import product_join, skew_join
 
 LINK_COLUMNS = [
     "payload_id", "proc", "proc_pos", "role", "rel_pos", "guid", "object_type", "own_name",
@@ -19,43 +19,37 @@ def is_process(type_name: Column | str) -> Column:
     return F.lower(fn.or_empty(type_name)).contains("process")
 
 
+def slim_payloads(payloads: DataFrame) -> DataFrame:
+    """payload_id (bigint), relations and entities of each payload. Stored: parsed once."""
+    entity = F.transform(F.map_entries("lineage.guidEntityMap"), lambda e: F.struct(
+        e["key"].alias("guid"), fn.or_empty(e["value"]["typeName"]).alias("object_type"),
+        fn.pick_qualified_name(e["value"]).alias("own_name")))
+    relation = F.transform("lineage.relations", lambda r: F.struct(
+        fn.or_empty(r["fromEntityId"]).alias("source"), fn.or_empty(r["toEntityId"]).alias("target")))
+    return store(payloads.select(
+        F.monotonically_increasing_id().alias("payload_id"), relation.alias("relations"), entity.alias("entities")), "payloads")
+
+
 def links(payloads: DataFrame) -> DataFrame:
     """Relations at process nodes: one row per side that touches a process.
 
-    ``role`` is ``in`` for entity → process and ``out`` for process → entity. Type and
-    name of the entity, and the kind of the middle node, are looked up in the entity map
-    of the payload's own row, so the process filter needs no join.
+    ``role`` is ``in`` for entity → process and ``out`` for process → entity. Relations and
+    entities of a payload become rows of their own, and meet again by payload and guid: the
+    work grows with the rows, however many of them one payload has.
     """
-    slim = F.transform_values("lineage.guidEntityMap", lambda _, e: F.struct(
-        fn.or_empty(e["typeName"]).alias("object_type"),
-        fn.pick_qualified_name(e).alias("own_name")))
-    # through a generator, which keeps the map from being rebuilt for every use of it
-    facts = payloads.select("payload_id", F.inline(F.array(F.struct(
-        F.col("lineage.relations").alias("relations"), slim.alias("entities")))))
-    processes = facts.withColumn("processes", F.map_keys(
-        F.map_filter("entities", lambda _, e: is_process(e["object_type"]))))
-
-    # worked out within the row: exploding first would copy the entity map to every relation
-    def side(role: str, proc: Column, guid: Column, pos: Column) -> Column:
-        return F.struct(
-            proc.alias("proc"), F.array_position("processes", proc).cast("int").alias("proc_pos"),
-            F.lit(role).alias("role"), pos.alias("rel_pos"), guid.alias("guid"))
-
-    def sides(rel: Column, pos: Column) -> Column:
-        source, target = fn.or_empty(rel["fromEntityId"]), fn.or_empty(rel["toEntityId"])
-        return F.array(side("in", target, source, pos), side("out", source, target, pos))
-
-    at_process = F.filter(
-        F.flatten(F.transform("relations", sides)),
-        lambda s: (s["proc_pos"] > 0) & (s["guid"] != ""))
-    with_entity = F.transform(
-        at_process, lambda s: F.struct(s.alias("side"), F.col("entities")[s["guid"]].alias("entity")))
-    # an outer explode: for an inner one the optimizer adds a size test, and with it a second
-    # evaluation of the whole expression
-    linked = processes.select("payload_id", F.explode_outer(with_entity).alias("link"))
-    return linked.filter(F.col("link").isNotNull()).select(
-        "payload_id", "link.side.*", fn.or_empty("link.entity.object_type").alias("object_type"),
-        fn.or_empty("link.entity.own_name").alias("own_name")).select(*LINK_COLUMNS)
+    slim = slim_payloads(payloads)
+    entities = slim.select("payload_id", F.posexplode("entities").alias("pos", "e")).select("payload_id", "pos", "e.*")
+    processes = entities.filter(is_process("object_type")).select(
+        "payload_id", F.col("guid").alias("proc"), (F.col("pos") + 1).alias("proc_pos"))
+    relations = slim.select("payload_id", F.posexplode("relations").alias("rel_pos", "r"))
+
+    def side(role: str, proc: str, guid: str) -> Column:
+        return F.struct(F.col(f"r.{proc}").alias("proc"), F.lit(role).alias("role"), F.col(f"r.{guid}").alias("guid"))
+
+    sides = relations.select("payload_id", "rel_pos", F.inline(F.array(side("in", "target", "source"), side("out", "source", "target"))))
+    at_process = sides.filter(F.col("guid") != "").join(processes, ["payload_id", "proc"])
+    linked = at_process.join(entities.drop("pos"), ["payload_id", "guid"], "left")
+    return linked.withColumns({c: fn.or_empty(c) for c in ("object_type", "own_name")}).select(*LINK_COLUMNS)
 
 
 def name_map(entities: DataFrame) -> DataFrame:
@@ -76,7 +70,10 @@ def with_names(links: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def two_hop(links: DataFrame) -> DataFrame:
-    """entity → process → entity: every input of a process with every output of it."""
+    """entity → process → entity: every input of a process with every output of it.
+
+    A process with many of both is cut into a grid of tasks by the pairs it makes.
+    """
     def side(role: str, prefix: str) -> DataFrame:
         kept = links.filter(F.col("role") == role).drop("role")
         if role == "out":
@@ -85,7 +82,7 @@ def two_hop(links: DataFrame) -> DataFrame:
         return kept.withColumnsRenamed({
             c: f"{prefix}_{c}" for c in kept.columns if c not in shared})
 
-    pairs = skew_join(side("in", "src"), side("out", "dst"), ["payload_id", "proc"])
+    pairs = product_join(side("in", "src"), side("out", "dst"), ["payload_id", "proc"])
     return pairs.filter(F.col("src_guid") != F.col("dst_guid"))
 
 
@@ -200,8 +197,8 @@ def graph(payloads: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def connected_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Given edges whose both ends are known nodes. A hub is split by the adaptive join."""
+    """Given edges whose both ends are known nodes; hubs are split."""
     guids = nodes.select("guid").distinct()
     for end in ("src", "dst"):
-        edges = edges.join(guids.withColumnRenamed("guid", end), end, "left_semi")
+        edges = skew_join(edges, guids.withColumnRenamed("guid", end), [end], "left_semi")
     return edges.select("src", "dst", "rel")

@@ -55,12 +55,9 @@ def from_entities(entities: DataFrame) -> DataFrame:
         fn.pick_owner(e))).filter(F.col("object_id") != "")
 
 
-def search_hits(pages: DataFrame, kind: str = "typeName") -> DataFrame:
-    """Entities of landed search pages, one row each, with their place in the page."""
-    hits = pages.select(
-        F.col(kind).alias("search_type"), "pos", F.posexplode("entities").alias("hit_no", "hit"))
-    return hits.select("search_type", "pos", "hit_no", "hit.*").filter(
-        F.col("guid").isNotNull() & (F.col("guid") != ""))
+def search_hits(results: DataFrame) -> DataFrame:
+    """Landed search results that have a GUID."""
+    return results.filter(F.col("guid").isNotNull() & (F.col("guid") != ""))
 
 
 def guids_by_type(hits: DataFrame, kind: str = "typeName", order: list[str] | None = None) -> DataFrame:
@@ -228,10 +225,13 @@ def project_keys(projects: DataFrame, max_projects: int = 0) -> DataFrame:
 
 
 def with_project(children: DataFrame, projects: DataFrame) -> DataFrame:
-    """Jobs, sessions, models or applications with id and owner of their project."""
+    """Jobs, sessions, models or applications with id and owner of their project.
+
+    A project with very many children is split by the adaptive join; nothing runs here.
+    """
     keyed = children.withColumnRenamed("project_id", "project_key")
     slim = projects.select("project_key", "pid", "project_owner")
-    return skew_join(keyed, slim, ["project_key"], "inner")
+    return keyed.join(slim, "project_key")
 
 
 def project_objects(projects: DataFrame) -> DataFrame:

@@ -1,54 +1,97 @@
-"""Equi-join for inputs where a few keys may hold a large part of the rows."""
+"""Equi-joins where one key may hold a large part of the rows, or make most of the pairs.
 
-from __future__ import annotations
+Keys are split by the work they make. Their parts are a table, written to the shared folder and
+joined back: it may be long, and the driver only learns whether it has any rows, and whether it
+is short enough to be broadcast. Counting is one job over the input's keys, so the input should
+be stored.
+"""
 
-import math
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-# A key is hot above 1/HOT_SHARE of the left rows. There are fewer than HOT_SHARE such
-# keys whatever the input size, so their list fits the driver and every task.
-HOT_SHARE = 200
-
+from ..session import store
 
-def hot_keys(df: DataFrame, on: list[str]) -> dict[int, float]:
-    """Key hash → share of the rows, for the hot keys. Runs one job over the key columns.
-
-    Counts combine on the map side; at most ``HOT_SHARE`` counts reach the driver.
-    """
-    counts = df.groupBy(F.xxhash64(*on).alias("h")).agg(F.count("*").alias("n"))
-    seen = Observation()
-    top = counts.observe(seen, F.sum("n").alias("total")).orderBy(F.desc("n")).limit(HOT_SHARE).collect()
-    total = (seen.get["total"] or 0) if top else 0
-    return {row.h: row.n / total for row in top if row.n * HOT_SHARE > total}
+#: Rows of one key, or pairs, that one task makes.
+KEY_ROWS = 1_000_000
+PAIRS = 1_000_000
+#: A table of split keys is broadcast up to so many rows.
+BROADCAST_KEYS = 100_000
 
 
 def _hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join where ``left`` (for inner joins also ``right``) may have hot keys.
+def _spread(df: DataFrame) -> Column:
+    # the task number also spreads rows that are copies of each other
+    return F.xxhash64(*_hashable(df)) + F.spark_partition_id()
+
 
-    Rows of a hot key are spread over as many parts as their share of the shuffle
-    partitions, and their matches on the right are repeated for each part. All other rows
-    move once, under part 0. Without hot keys this is a plain join. ``how``: inner, left,
-    left_semi or left_anti.
-    """
+def _checked(parts: DataFrame) -> tuple[DataFrame, bool]:
+    """The table, marked for broadcast if it is short; whether it has rows."""
+    n = parts.select(F.lit(1)).limit(BROADCAST_KEYS + 1).count()
+    return (F.broadcast(parts) if n <= BROADCAST_KEYS else parts), n > 0
+
+
+def _same_types(left: DataFrame, right: DataFrame, on: list[str]) -> None:
     if any(left.schema[k].dataType != right.schema[k].dataType for k in on):
         raise TypeError(f"key types differ, so their hashes would: {on}")
-    shares = hot_keys(left, on)
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = {h: math.ceil(share * partitions) for h, share in shares.items()}
-    parts = {h: n for h, n in parts.items() if n > 1}
-    if not parts:
+
+
+def _index(parts: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1))
+
+
+def skew_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", key_rows: int = KEY_ROWS
+) -> DataFrame:
+    """Join where a key may have very many rows in ``left`` and few in ``right``.
+
+    A key with more than ``key_rows`` left rows is dealt to parts of that size, and its
+    matches on the right are repeated for each part. All other rows move once. Without such
+    keys it is a plain join. ``how``: inner, left, left_semi or left_anti.
+    """
+    _same_types(left, right, on)
+    counts = left.groupBy(*on).agg(F.count("*").alias("_rows")).where(F.col("_rows") > key_rows)
+    parts, any_split = _checked(store(
+        counts.select(*on, F.ceil(F.col("_rows") / key_rows).alias("_parts")), "key_parts"))
+    if not any_split:
         return left.join(right, on, how)
-    key = F.xxhash64(*on)
-    entries = [F.lit(v) for pair in parts.items() for v in pair]
-    parts_of: Column = F.when(key.isin(*parts), F.create_map(*entries)[key]).otherwise(F.lit(1))
-    # the task number also spreads rows that are copies of each other
-    spread = F.xxhash64(*_hashable(left)) + F.spark_partition_id()
-    salted = left.withColumn("_part", F.pmod(spread, parts_of).cast("int"))
-    copies = right.withColumn("_part", F.explode(F.sequence(F.lit(0), parts_of - 1)))
+    one = F.coalesce("_parts", F.lit(1))
+    salted = left.join(parts, on, "left").withColumn("_part", F.pmod(_spread(left), one)).drop("_parts")
+    copies = right.join(parts, on, "left").withColumn("_parts", one).withColumn("_part", _index("_parts")).drop("_parts")
     return salted.join(copies, [*on, "_part"], how).drop("_part")
+
+
+def product_join(left: DataFrame, right: DataFrame, on: list[str], pairs: int = PAIRS) -> DataFrame:
+    """Inner join of every left with every right row of a key.
+
+    A key that makes more than ``pairs`` pairs is cut into a grid: the larger side into as
+    many parts as cells are needed, and the smaller side too if that is not enough. Each cell
+    is a task's work. All other rows move once.
+    """
+    _same_types(left, right, on)
+    n, m = F.col("_left"), F.col("_right")
+    sizes = left.groupBy(*on).agg(F.count("*").alias("_left")).join(
+        right.groupBy(*on).agg(F.count("*").alias("_right")), on)
+    cells = F.ceil(n.cast("decimal(19,0)") * m / pairs).cast("bigint")
+    long = F.least(F.greatest(n, m), F.col("_cells"))
+    short = F.least(F.least(n, m), F.ceil(F.col("_cells") / F.col("_long")))
+    grid = (sizes.withColumn("_cells", cells).where(F.col("_cells") > 1).withColumn("_long", long)
+            .withColumn("_short", short).select(
+                *on, F.when(n >= m, F.col("_long")).otherwise(F.col("_short")).alias("_rows"),
+                F.when(n >= m, F.col("_short")).otherwise(F.col("_long")).alias("_columns")))
+    grid, any_split = _checked(store(grid, "pair_grid"))
+    if not any_split:
+        return left.join(right, on)
+
+    def placed(df: DataFrame, own: str, other: str) -> DataFrame:
+        size = {c: F.coalesce(c, F.lit(1)).cast("bigint") for c in (own, other)}
+        sized = df.join(grid, on, "left").withColumns(size)
+        return sized.withColumn(f"{own}_at", F.pmod(_spread(df), F.col(own))).withColumn(
+            f"{other}_at", _index(other)).drop(own, other)
+
+    cell = ["_rows_at", "_columns_at"]
+    return placed(left, "_rows", "_columns").join(placed(right, "_columns", "_rows"), [*on, *cell]).drop(*cell)

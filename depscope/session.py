@@ -57,12 +57,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/depscope/{uuid.uuid4().hex}/{name}"
 
 
+_STORED: dict[str, list[str]] = {}
+
+
+def drop_stored(spark: SparkSession) -> int:
+    """Remove what this application has stored; call it when no result is needed any more."""
+    paths = _STORED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several later steps read, and go on from the written table.
 
     Survives lost executors, and later steps neither repeat the work nor read columns
-    they do not need. Runs a job.
+    they do not need. Runs a job. ``drop_stored`` removes all such tables.
     """
     path = scratch_path(df.sparkSession, name)
+    _STORED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
