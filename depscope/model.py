@@ -138,11 +138,6 @@ LINEAGE = T.StructType([
         T.StructField("relations", T.ArrayType(RELATION)),
     ])),
 ])
-SEARCH_PAGE = T.StructType([
-    T.StructField("entities", T.ArrayType(ENTITY)),
-    T.StructField("approximateCount", T.LongType()),
-])
-
 RM_APP = T.StructType([
     *_struct("id", "user", "name", "state").fields,
     T.StructField("startedTime", T.LongType()),

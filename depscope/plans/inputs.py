@@ -40,6 +40,18 @@ class Inputs:
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
+    def rename_parts(self, parts: str, folder: str, ending: str) -> None:
+        """Give the one file of each ``key=value`` folder the name of its value."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        as_path = jvm.org.apache.hadoop.fs.Path
+        fs = as_path(parts).getFileSystem(conf)
+        fs.mkdirs(as_path(folder))
+        for part in fs.listStatus(as_path(parts)):
+            if part.isDirectory():
+                name = part.getPath().getName().split("=", 1)[1]
+                for file in fs.listStatus(part.getPath()):
+                    fs.rename(file.getPath(), as_path(f"{folder}/{name}{ending}"))
+
     # --- audit ---
 
     def audit_json(self) -> DataFrame:

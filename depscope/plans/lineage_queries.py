@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from .. import functions as fn, sinks, sources
 from ..operators import lineage, objects
@@ -59,11 +59,11 @@ def _named_links(i):
 
 
 def _dump_entities(i):
-    return sources.entities(i.spark, i.catalog_dump(), pattern="*.txt")
+    return sources.entities(i.spark, i.catalog_dump(), pattern="*.txt", bad="skip")
 
 
 def _dump_lineage(i):
-    return sources.lineage_payloads(i.spark, i.catalog_dump(), pattern="*.txt")
+    return sources.lineage_payloads(i.spark, i.catalog_dump(), pattern="*.txt", bad="skip")
 
 
 # --- sources ---
@@ -85,32 +85,32 @@ def _(i):
         F.size("lineage.guidEntityMap").cast("bigint").alias("entities"))
 
 
-def _search_pages(i):
-    """Landed search pages: each catalog record with its repetition as one page of its type."""
+def _search_results(i):
+    """Landed search files, one entity per line: each record, one without a GUID, the record again."""
     def write(path):
         e = i.entities()
         hit = F.struct("guid", "typeName", "attributes", "uniqueAttributes")
-        nameless = F.struct(
-            F.lit("").alias("guid"), "typeName", "attributes", "uniqueAttributes")
-        pages = e.select(
-            F.col("typeName").alias("t"), F.array(hit, nameless, hit).alias("entities"),
-            F.lit(3).cast("bigint").alias("approximateCount"))
-        pages.write.partitionBy("t").json(path)
-    path = i.landed("search", write)
-    return i.spark.read.schema("entities array<struct<guid:string>>, approximateCount bigint, t string").json(path) \
-        .select("entities", F.col("t").alias("search_type"), F.lit(0).alias("pos"))
-
-
-@query("scan_search_results", """select type_name as search_type, guid from v_entities union all
-  select type_name, guid from v_entities""", "entities")
+        nameless = F.struct(F.lit("").alias("guid"), "typeName", "attributes", "uniqueAttributes")
+        hits = e.select(F.col("typeName").alias("t"), "pos", F.explode(F.array(hit, nameless, hit)).alias("h"))
+        lines = hits.repartition("t").sortWithinPartitions("t", "pos").select("t", F.to_json("h").alias("value"))
+        lines.write.partitionBy("t").text(f"{path}/parts")
+        i.rename_parts(f"{path}/parts", f"{path}/search", ".jsonl")
+    return sources.search_results(i.spark, i.landed("search", write))
+
+
+@query("scan_search_results", """select type_name as search_type, guid, type_name as "typeName" from v_entities union all
+  select type_name, guid, type_name from v_entities""", "entities")
 def _(i):
-    return objects.search_hits(_search_pages(i), "search_type").select("search_type", "guid")
+    return objects.search_hits(_search_results(i)).select("search_type", "guid", "typeName")
 
 
-@query("agg_guids_by_type", "select distinct type_name as search_type, guid from v_entities", "entities")
+# the place among a type's GUIDs, in the order in which they were first seen
+@query("agg_guids_by_type", """, f as (select type_name as search_type, guid, min(pos) as p from v_entities group by 1, 2)
+  select search_type, guid, row_number() over (partition by search_type order by p) as place from f""", "entities")
 def _(i):
-    hits = objects.search_hits(_search_pages(i), "search_type")
-    return objects.guids_by_type(hits, "search_type", ["pos", "hit_no"]).select("search_type", "guid")
+    found = objects.guids_by_type(objects.search_hits(_search_results(i)), "search_type")
+    order = Window.partitionBy("search_type").orderBy("first_pos")
+    return found.select("search_type", "guid", F.row_number().over(order).cast("bigint").alias("place"))
 
 
 # --- entities ---
@@ -175,11 +175,20 @@ def _(i):
     return lineage.edges_by_guid(i.links("supply_links"))
 
 
-@query("join_process_filter", """with n as (select count(*) as c, count(*) filter (l_returnflag = 'R') as r from lineitem)
-  select 'in' as role, cast(2 * c + r as bigint) as links from n union all
-  select 'out', cast(2 * c + r as bigint) from n""")
+# every relation at a process, with what the payload says of the entity
+LANDED = """with li as (select l_orderkey as o, 's' || cast(l_suppkey as varchar) as s, 'p' || cast(l_partkey as varchar) as p,
+    l_returnflag = 'R' as twice from lineitem)
+select 'in' as role, 'load' || o as proc, 0 as rel_pos, s as guid, 'hdfs_path' as object_type, 'own:' || s as own_name from li
+union all select 'out', 'load' || o, 1, p, 'hive_table', 'own:' || p from li
+union all select 'in', 'load' || o, 2, s, 'hdfs_path', 'own:' || s from li
+union all select 'out', 'load' || o, 3, s, 'hdfs_path', 'own:' || s from li
+union all select 'in', 'back' || o, 6, p, 'hive_table', 'own:' || p from li where twice
+union all select 'out', 'back' || o, 7, s, 'hdfs_path', 'own:' || s from li where twice"""
+
+
+@query("join_process_filter", LANDED)
 def _(i):
-    return lineage.links(i.payloads()).groupBy("role").agg(F.count("*").alias("links"))
+    return lineage.links(i.payloads()).select("role", "proc", "rel_pos", "guid", "object_type", "own_name")
 
 
 @query("join_edges_to_nodes", PAIRS_SUPPLY + """select distinct from_id as src, to_id as dst, relation as rel
@@ -233,33 +242,39 @@ def _(i):
     return back.withColumn("payload_id", kind[1].cast("bigint")).withColumn("from_object_type", kind[0])
 
 
-@query("sink_jsonl_by_type", """select guid, type_name as "typeName", count(*) as records from v_entities group by all""",
-       "entities")
+@query("sink_jsonl_by_type", f"""select guid, type_name as "typeName", {QN} as qn, {OWNER} as owner, {NAME} as name,
+  count(*) as records from v_entities group by all""", "entities")
 def _(i):
-    path = i.scratch("entities_by_type")
-    sinks.write_json_by_type(i.entities().drop("pos"), path)
-    back = i.spark.read.schema("guid string, typeName string").json(path)
-    return back.groupBy("guid", "typeName").agg(F.count("*").alias("records"))
+    path = i.scratch("by_type")
+    for _ in range(2):  # a rerun changes nothing
+        sinks.write_json_by_type(i.entities().drop("pos"), f"{path}/entities")
+    e = F.struct(*objects.ENTITY_STRUCT)
+    back = sources.entities(i.spark, path).select(
+        "guid", "typeName", fn.pick_qualified_name(e).alias("qn"), fn.pick_owner(e).alias("owner"), fn.pick_name(e).alias("name"))
+    return back.groupBy(*back.columns).agg(F.count("*").alias("records"))
 
 
-@query("sink_graph_nodes", NODES, "entities")
-def _(i):
+def _twice_loaded(i):
+    """The stored graph after a load of all, and a second one of changed records."""
     path = i.scratch("graph")
     nodes = lineage.vertices(i.entities())
-    # a second load of the same records changes nothing
-    loaded = sinks.upsert_vertices(nodes, lineage.vertices(i.entities()))
-    sinks.write_graph(loaded, i.spark.createDataFrame([], "src string, dst string, rel string"), path)
-    return i.spark.read.parquet(f"{path}/vertices").drop("raw")
+    edges = lineage.edges_by_guid(lineage.connected_links(i.links("supply_links"), nodes))
+    sinks.write_graph(nodes, edges, path)
+    changed = nodes.filter(F.col("guid").startswith("s")).withColumns(
+        {"name": F.concat(F.lit("new "), "name"), "raw": F.concat(F.lit("new "), "raw")})
+    sinks.upsert_graph(F.broadcast(changed), edges, path)
+    return sinks.read_graph(i.spark, path)
+
+
+@query("sink_graph_nodes", f"""{NODES[:NODES.rindex("select guid")]} select guid, type_name as "typeName", {QN} as "qualifiedName",
+  case when guid like 's%' then 'new ' else '' end || {NAME} as name, guid like 's%' as changed from r where rn = 1""", "entities")
+def _(i):
+    nodes, _ = _twice_loaded(i)
+    return nodes.withColumn("changed", F.col("raw").startswith("new {")).drop("raw")
 
 
 @query("sink_graph_edges", PAIRS_SUPPLY + """select distinct from_id as src, to_id as dst, relation as rel
   from both_ways where from_id in (select guid from v_entities) and to_id in (select guid from v_entities)""",
        "supply_links", "entities")
 def _(i):
-    path = i.scratch("graph")
-    nodes = lineage.vertices(i.entities())
-    new = lineage.edges_by_guid(lineage.connected_links(i.links("supply_links"), nodes))
-    # loading the same edges again changes nothing
-    edges = sinks.upsert_edges(new, new, nodes)
-    sinks.write_graph(nodes, edges, path)
-    return i.spark.read.schema("src string, dst string, rel string").parquet(f"{path}/edges")
+    return _twice_loaded(i)[1]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..model import (
     ACCESS_COLUMNS, EVENT_COLUMNS, LINEAGE_COLUMNS, OBJECT_COLUMNS, SUMMARY_COLUMNS, SUMMARY_KEYS,
@@ -69,8 +69,30 @@ def write_partitioned(df: DataFrame, path: str, append: bool = False) -> None:
 
 
 def write_json_by_type(df: DataFrame, path: str, type_column: str = "typeName") -> None:
-    """JSON lines in one folder per type. Absent fields are left out."""
-    df.hint("rebalance", type_column).write.mode("append").partitionBy(type_column).json(path)
+    """JSON lines in one folder per type; absent fields are left out.
+
+    The type stays in the records (the folders are named by a copy), so that
+    ``sources.entities`` reads them back. Types that occur are replaced, so a rerun gives
+    the same table.
+    """
+    copy = df.withColumn("type", F.coalesce(type_column, F.lit("")))
+    writer = copy.hint("rebalance", "type").write.partitionBy("type").mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").json(path)
+
+
+def write_errors(df: DataFrame, path: str) -> None:
+    """Failed requests of an export, as JSON lines in its ``errors`` folder."""
+    df.write.mode("overwrite").json(f"{path.rstrip('/')}/errors")
+
+
+def write_guids_by_type(guids: DataFrame, path: str, type_column: str = "typeName") -> None:
+    """One JSON line per type and GUID, in the order in which each type's were first seen.
+
+    Lines in place of one document: a list of a common type would not fit a task.
+    """
+    ordered = guids.select(type_column, "guid", "first_pos").orderBy(type_column, "first_pos")
+    ordered.select(type_column, "guid").write.mode("overwrite").json(
+        f"{path.rstrip('/')}/guids_by_type")
 
 
 def upsert_vertices(known: DataFrame | None, new: DataFrame) -> DataFrame:
@@ -87,9 +109,59 @@ def upsert_edges(known: DataFrame | None, new: DataFrame, nodes: DataFrame) -> D
     return linked if known is None else known.unionByName(linked).distinct()
 
 
-def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    """Graph tables ``vertices`` and ``edges`` (edges in one folder per relation)."""
-    nodes.write.mode("overwrite").parquet(f"{path.rstrip('/')}/vertices")
-    edges.write.mode("overwrite").partitionBy("rel").parquet(f"{path.rstrip('/')}/edges")
+def _path(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _restore(spark: SparkSession, target: str) -> None:
+    """Undo a replacement that broke off between its two renames."""
+    (now, fs), (before, _) = _path(spark, target), _path(spark, f"{target}_previous")
+    if not fs.exists(now) and fs.exists(before):
+        fs.rename(before, now)
+
 
+def _replace(spark: SparkSession, new: str, target: str) -> None:
+    """Put a finished folder in the place of another; that one goes last."""
+    (made, fs), (now, _), (before, _) = (_path(spark, p) for p in (new, target, f"{target}_previous"))
+    fs.delete(before, True)
+    if fs.exists(now) and not fs.rename(now, before):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(made, now):
+        fs.rename(before, now)
+        raise OSError(f"cannot put {new} in the place of {target}")
+    fs.delete(before, True)
+    spark.catalog.refreshByPath(target)
 
+
+def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """Graph tables ``vertices`` and ``edges`` (edges in one folder per relation).
+
+    Both are written beside the stored ones, which ``nodes`` and ``edges`` may still read,
+    and take their place once they are complete.
+    """
+    spark, path = nodes.sparkSession, path.rstrip("/")
+    nodes.write.mode("overwrite").parquet(f"{path}/_next/vertices")
+    edges.write.mode("overwrite").partitionBy("rel").parquet(f"{path}/_next/edges")
+    for name in ("vertices", "edges"):
+        _replace(spark, f"{path}/_next/{name}", f"{path}/{name}")
+
+
+def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
+    """The stored graph's vertices and edges; None where there is none."""
+    path = path.rstrip("/")
+    for name in ("vertices", "edges"):
+        _restore(spark, f"{path}/{name}")
+    place, fs = _path(spark, f"{path}/vertices")
+    if not fs.exists(place):
+        return None
+    edges = spark.read.schema("src string, dst string, rel string").parquet(f"{path}/edges")
+    return spark.read.parquet(f"{path}/vertices"), edges
+
+
+def upsert_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """Load nodes and edges into the stored graph: new records replace those of their guid."""
+    known = read_graph(nodes.sparkSession, path)
+    known_nodes, known_edges = known or (None, None)
+    merged = upsert_vertices(known_nodes, nodes)
+    write_graph(merged, upsert_edges(known_edges, edges, merged), path)

@@ -9,7 +9,8 @@ from .audit import (  # noqa: F401
 )
 from .catalog import (  # noqa: F401
     entities, hive_describe_lines, hive_listing, kudu_descriptions, kudu_tables,
-    lineage_payloads, live_describe, live_hive_listing, search_pages,
+    lineage_payloads, live_describe, live_hive_listing, search_results,
 )
+from .damage import damaged  # noqa: F401
 from .history import cdsw, jhs_jobs, rm_apps, spark_apps  # noqa: F401
 from .listing import jdbc_listing, listing_table, ls_listing  # noqa: F401

@@ -5,41 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import functions as fn
-from ..model import ENTITY, LINEAGE, SEARCH_PAGE
+from ..model import ENTITY, LINEAGE
+from .damage import json_texts, parsed
 from .position import position
 
+# exports end in .jsonl, and what ``sinks.write_json_by_type`` writes in .json
+JSON_FILES = "*.json*"
 
-def _json_lines(spark: SparkSession, folder: str, schema, pattern: str) -> DataFrame:
+
+def _json_lines(spark: SparkSession, folder: str, schema, pattern: str, bad: str) -> DataFrame:
     """Records of the JSON-lines files of a folder, with their landed text as ``raw``."""
-    text = spark.read.option("pathGlobFilter", pattern).text(folder)
-    located = text.select(fn.strip_line("value").alias("raw"), position().alias("pos"))
-    return located.filter(F.col("raw") != "").select(
-        "raw", "pos", F.inline(F.array(F.from_json("raw", schema))))
+    texts = json_texts(spark, folder, pattern=pattern)
+    located = texts.select(F.col("text").alias("raw"), position().alias("pos"))
+    return parsed(located, "raw", schema, bad, "pos.file").select("raw", "pos", "record.*")
 
 
-def entities(spark: SparkSession, dump: str, pattern: str = "*.jsonl") -> DataFrame:
-    """Full entities of an export (``entities/*.jsonl``)."""
-    return _json_lines(spark, f"{dump.rstrip('/')}/entities", ENTITY, pattern)
+def entities(spark: SparkSession, dump: str, pattern: str = JSON_FILES, bad: str = "fail") -> DataFrame:
+    """Full entities of an export (``entities/*.jsonl``). ``bad``: see ``damage.sound``."""
+    return _json_lines(spark, f"{dump.rstrip('/')}/entities", ENTITY, pattern, bad)
 
 
 def lineage_payloads(
-    spark: SparkSession, dump: str, pattern: str = "*.jsonl"
+    spark: SparkSession, dump: str, pattern: str = JSON_FILES, bad: str = "fail"
 ) -> DataFrame | None:
     """Lineage payloads of an export (``lineage/*.jsonl``); None without the folder."""
     folder = f"{dump.rstrip('/')}/lineage"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
-    rows = _json_lines(spark, folder, LINEAGE, pattern)
+    rows = _json_lines(spark, folder, LINEAGE, pattern, bad)
     return rows.drop("raw").withColumnRenamed("pos", "payload_id")
 
 
-def search_pages(spark: SparkSession, *paths: str) -> DataFrame:
-    """Landed search responses, one page per line, with the searched type of their file."""
-    pages = spark.read.schema(SEARCH_PAGE).json(list(paths))
-    name = fn.basename(F.col("_metadata.file_path"))
-    return pages.select(
-        "entities", F.substring_index(name, ".", 1).alias("search_type"), position().alias("pos"))
+def search_results(spark: SparkSession, dump: str, pattern: str = JSON_FILES, bad: str = "fail") -> DataFrame:
+    """Landed search results (``search/<type>.jsonl``), one entity per line, with the searched
+    type of their file."""
+    texts = json_texts(spark, f"{dump.rstrip('/')}/search", pattern=pattern)
+    name = F.substring_index(fn.basename(F.col("_metadata.file_path")), ".", 1)
+    located = texts.select("text", F.url_decode(name).alias("search_type"), position().alias("pos"))
+    return parsed(located, "text", ENTITY, bad, "pos.file").select("search_type", "record.*", "pos")
 
 
 def kudu_tables(spark: SparkSession, *paths: str) -> DataFrame:

@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from depscope import sinks, sources
-from depscope.model import LINEAGE_COLUMNS, OBJECT_COLUMNS
+from depscope.model import LINEAGE, LINEAGE_COLUMNS, OBJECT_COLUMNS
 from depscope.operators import access, lineage, objects
 from depscope.operators.dedupe import first_per_key, last_per_key, page_counts
-from depscope.operators.skew import hot_keys, skew_join
+from depscope.operators.skew import product_join, skew_join
 from depscope.sources.catalog import parse_kudu_descriptions
 from depscope.sources.listing import parse_ls
 
@@ -223,8 +223,20 @@ def test_graph(spark, dump, tmp_path):
     assert merged.count() == len(want)
     loaded = sinks.upsert_vertices(nodes, nodes.withColumn("name", F.lit("new")))
     assert {r.name for r in loaded.collect()} == {"new"}
-    sinks.write_graph(nodes, edges, str(tmp_path / "g"))
-    assert spark.read.parquet(str(tmp_path / "g" / "edges")).count() == len(want)
+    where = str(tmp_path / "g")
+    assert sinks.read_graph(spark, where) is None
+    sinks.write_graph(nodes, edges, where)
+    assert spark.read.parquet(f"{where}/edges").count() == len(want)
+    # changed records, loaded into the graph that is read meanwhile, by a broadcast join
+    changed = nodes.limit(2).withColumn("name", F.lit("changed"))
+    for _ in range(2):
+        sinks.upsert_graph(F.broadcast(changed), edges, where)
+    stored, linked = sinks.read_graph(spark, where)
+    assert sorted(r.guid for r in stored.collect()) == sorted(by_guid) and linked.count() == len(want)
+    assert stored.filter("name = 'changed'").count() == 2
+    # broken off between the renames: the old graph is found again
+    (tmp_path / "g" / "vertices").rename(tmp_path / "g" / "vertices_previous")
+    assert sinks.read_graph(spark, where)[0].count() == 3
 
 
 def test_no_lineage_folder(spark, tmp_path):
@@ -242,8 +254,7 @@ def test_skew_join(spark, how, copies):
         F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 50 != 1, F.col("id")).alias("k"), value.alias("v"))
     right = spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w")).union(
         spark.sql("select 1L, 5L")).union(spark.sql("select 1L, 6L"))
-    assert len(hot_keys(left, ["k"])) >= 1
-    joined = skew_join(left, right, ["k"], how)
+    joined = skew_join(left, right, ["k"], how, key_rows=100)
     assert "_part" in joined._jdf.queryExecution().optimizedPlan().toString()
     plain = left.join(right, ["k"], how)
     assert sorted(map(repr, joined.collect())) == sorted(map(repr, plain.collect()))
@@ -254,7 +265,47 @@ def test_join_without_hot_keys_is_plain(spark):
     assert "_part" not in skew_join(left, left, ["k"])._jdf.queryExecution().optimizedPlan().toString()
     with pytest.raises(TypeError):
         skew_join(left, left.select(F.col("k").cast("int")), ["k"])
-    assert hot_keys(left.limit(0), ["k"]) == {}
+
+
+@pytest.mark.parametrize("pairs", [7, 100, 10**6])
+def test_product_join(spark, pairs):
+    left = spark.range(400).select((F.col("id") % 7 * (F.col("id") % 3)).alias("k"), F.col("id").alias("a"))
+    right = spark.range(300).select((F.col("id") % 5).alias("k"), F.lit(1).alias("b"))
+    joined = product_join(left, right, ["k"], pairs)
+    assert ("_rows" in joined._jdf.queryExecution().optimizedPlan().toString()) == (pairs < 10**6)
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, left.join(right, ["k"]).collect()))
+
+
+def test_hot_process_is_cut_into_even_tasks(spark):
+    """One process with 3,000 inputs and outputs among ordinary ones: no task makes most pairs."""
+    hot = [(1, "P", r, k, f"{r}{k}") for r in ("in", "out") for k in range(3000)]
+    cold = [(k, "P", r, 0, f"{r}{k}") for r in ("in", "out") for k in range(2, 3000)]
+    df = spark.createDataFrame(hot + cold, "payload_id long, proc string, role string, rel_pos int, guid string").withColumn("proc_pos", F.lit(1))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        made = lineage.two_hop(df).groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    counts = sorted(r.n for r in made)
+    assert sum(counts) == 3000 * 3000 + 2998 and counts[-1] <= 4_000_000 and len([n for n in counts if n > 500_000]) >= 4
+
+
+def test_large_payload_takes_linear_time(spark):
+    """Four times the relations take about four times as long at most."""
+    import time
+
+    def seconds(n):
+        entities = {f"e{k}": {"typeName": "hive_table"} for k in range(n)} | {"q": {"typeName": "spark_process"}}
+        relations = [{"fromEntityId": f"e{k}", "toEntityId": "q"} for k in range(n)]
+        text = json.dumps({"lineage": {"guidEntityMap": entities, "relations": relations}})
+        df = spark.createDataFrame([(text,)], "t string").select(F.inline(F.array(F.from_json("t", LINEAGE))))
+        began = time.time()
+        assert lineage.links(df).count() == n
+        return time.time() - began
+    seconds(1000)
+    assert seconds(32_000) <= 4 * max(1.5, seconds(8_000))
 
 
 def test_first_and_last(spark):
@@ -276,3 +327,68 @@ def test_live_catalog(spark):
 
 def test_object_columns(spark, dump):
     assert objects.from_entities(sources.entities(spark, dump[0])).columns == OBJECT_COLUMNS
+
+
+# --- damaged and unexpected input ---
+
+ODD_PAGES = '{"error": "busy"}\n{}\n{"projects": null}\n[]\n{"apps": {"app": null}}\n{"jobs": null}\n[{"id": "a1"}, null]\n{"id": "lone", "name": "object"}\n'
+
+
+def test_unexpected_pages_invent_nothing(spark, tmp_path):
+    (tmp_path / "p.json").write_text(ODD_PAGES + '{"projects": [{"id": 1}]}\n{"apps": {"app": [{"id": "r"}]}}\n{"jobs": {"job": [{"id": "j"}]}}\n')
+    read = {kind: [r.id for r in f(spark, str(tmp_path)).collect()] for kind, f in (
+        ("rm", sources.rm_apps), ("jhs", sources.jhs_jobs), ("spark", sources.spark_apps),
+        ("cdsw", lambda s, p: sources.cdsw(s, "projects", p)))}
+    assert read == {"rm": ["r"], "jhs": ["j"], "spark": ["a1"], "cdsw": ["a1", "1"]}
+    assert sources.damaged(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("reader", [
+    sources.rm_apps, sources.jhs_jobs, sources.spark_apps, lambda s, p, **o: sources.cdsw(s, "jobs", p, **o)])
+def test_cut_off_pages_are_told(spark, tmp_path, reader):
+    whole = '{"apps": {"app": [{"id": "r"}]}, "jobs": {"job": [{"id": "j"}]}}\n[{"id": "s"}]\n'
+    (tmp_path / "a.json").write_text(whole + '[{"id": "x"}, {"id"\n{"apps": {"app": [{"id": "y"}\n\n')
+    with pytest.raises(Exception, match="damaged JSON in"):
+        reader(spark, str(tmp_path)).collect()
+    (tmp_path / "sound").mkdir()
+    (tmp_path / "sound" / "a.json").write_text(whole)
+    assert reader(spark, str(tmp_path / "a.json"), bad="skip").select("id").collect() == reader(spark, str(tmp_path / "sound")).select("id").collect()
+    assert sources.damaged(spark, str(tmp_path / "a.json")).count() == 2
+    with pytest.raises(ValueError):
+        reader(spark, str(tmp_path), bad="other")
+
+
+def test_cut_off_export_lines_are_told(spark, tmp_path):
+    for part in ("entities", "lineage", "search"):
+        (tmp_path / part).mkdir()
+        (tmp_path / part / "hive_table.jsonl").write_text('{"guid": "g", "attributes": 7}\n{"guid": "h", "attri\n')
+    for reader in (sources.entities, sources.lineage_payloads, sources.search_results):
+        with pytest.raises(Exception, match="damaged JSON in"):
+            reader(spark, str(tmp_path)).collect()
+        assert reader(spark, str(tmp_path), bad="skip").count() == 1
+    found = sources.search_results(spark, str(tmp_path), bad="skip").first()
+    assert (found.search_type, found.guid) == ("hive_table", "g")
+    assert sources.damaged(spark, str(tmp_path / "entities"), pattern="*.jsonl").count() == 1
+
+
+def test_export_round_trip(spark, dump, tmp_path):
+    entities = sources.entities(spark, dump[0]).drop("raw", "pos")
+    for _ in range(2):
+        sinks.write_json_by_type(entities, str(tmp_path / "entities"))
+    back = sources.entities(spark, str(tmp_path)).drop("raw", "pos")
+    assert sorted(map(str, back.select(entities.columns).collect())) == sorted(map(str, entities.collect()))
+    sinks.write_errors(spark.createDataFrame([("g", "HTTP 500")], "guid string, error string"), str(tmp_path))
+    assert spark.read.json(str(tmp_path / "errors")).first().error == "HTTP 500"
+    (tmp_path / "search").mkdir()
+    (tmp_path / "search" / "t.jsonl").write_text("".join(f'{{"guid": "{g}"}}\n' for g in ("c", "a", "", "c", "b")))
+    guids = objects.guids_by_type(objects.search_hits(sources.search_results(spark, str(tmp_path))), "search_type")
+    sinks.write_guids_by_type(guids, str(tmp_path), "search_type")
+    lines = [json.loads(x) for p in sorted((tmp_path / "guids_by_type").glob("part-*")) for x in p.read_text().splitlines()]
+    assert [x["guid"] for x in lines] == ["c", "a", "b"]
+
+
+def test_stored_tables_can_be_dropped(spark):
+    from depscope.session import drop_stored, store
+    drop_stored(spark)
+    kept = store(spark.range(3), "x")
+    assert kept.count() == 3 and drop_stored(spark) == 1 and drop_stored(spark) == 0
