@@ -138,23 +138,20 @@ def summary(events: DataFrame, minutes: int = 30) -> DataFrame:
     ``window_start`` is ``""`` for times that did not parse; their raw text still
     counts for first and last seen.
 
-    Timed events are aggregated on typed columns (a hash aggregate) and formatted once
-    per group. Events without a time make groups of their own, so they are aggregated
-    apart. On stored events that second scan reads only row groups with null times.
+    One scan, on typed times (a hash aggregate): the raw text is a key of untimed events
+    only, whose few groups are put together by a second aggregate.
     """
     keys = [k for k in SUMMARY_KEYS if k != "window_start"]
-    timed = events.filter(F.col("event_time").isNotNull())
-    windows = timed.select(
-        fn.floor_minutes("event_time", minutes).alias("window"), *keys, "event_time")
-    with_time = windows.groupBy("window", *keys).agg(
-        F.min("event_time").alias("first"), F.max("event_time").alias("last"),
-        F.count("*").alias("cnt"))
-    untimed = events.filter(F.col("event_time").isNull()).groupBy(*keys).agg(
-        _first_seen("event_ts"), _last_seen("event_ts"), F.count("*").alias("cnt"))
-    return with_time.select(
-        fn.iso("window").alias("window_start"), *keys, fn.iso("first").alias("first_seen"),
-        fn.iso("last").alias("last_seen"), "cnt",
-    ).unionByName(untimed.withColumn("window_start", F.lit(""))).select(*SUMMARY_COLUMNS)
+    raw = F.when(F.col("event_time").isNull(), fn.or_empty("event_ts"))
+    windows = events.select(
+        fn.floor_minutes("event_time", minutes).alias("window"), *keys, raw.alias("raw"), "event_time")
+    parts = windows.groupBy("window", *keys, "raw").agg(
+        F.min("event_time").alias("first"), F.max("event_time").alias("last"), F.count("*").alias("n"))
+    texts = parts.select(
+        F.coalesce(fn.iso("window"), F.lit("")).alias("window_start"), *keys,
+        F.coalesce(fn.iso("first"), "raw").alias("first"), F.coalesce(fn.iso("last"), "raw").alias("last"), "n")
+    merged = texts.groupBy(*SUMMARY_KEYS).agg(_first_seen("first"), _last_seen("last"), F.sum("n").alias("cnt"))
+    return merged.select(*SUMMARY_COLUMNS)
 
 
 def merge_summaries(*summaries: DataFrame) -> DataFrame:
@@ -193,14 +190,24 @@ def dependency(
     prepared = exclude_ops(events, ops).select(
         fn.dep_window_start("event_time", window).alias("window"),
         object_id.alias("object_id"),
-        "service", "user", "do_as", "op", "client_ip", "app_name", "event_ts", "source_file")
-    aggregates = [F.count("*").alias("cnt")]
-    if samples:
-        # the values come last in the ordering, so the choice never depends on row order
-        aggregates.append(F.min(F.struct("event_ts", "source_file", *samples)).alias("first"))
-    if with_seen:
-        aggregates += [_first_seen("event_ts"), _last_seen("event_ts")]
-    grouped = prepared.groupBy(*keys).agg(*aggregates)
+        "service", "user", "do_as", "op", "client_ip", "app_name", "event_time", "source_file",
+        F.when(F.col("event_time").isNull(), F.col("event_ts")).alias("raw"))
+    detail = [*samples, *(["source_file"] if samples else []), *(["raw"] if samples or with_seen else [])]
+    # a hash aggregate of all events first: texts are compared only among its far fewer rows
+    parts = prepared.groupBy(*keys, *detail).agg(
+        F.min("event_time").alias("first_time"), F.max("event_time").alias("last_time"), F.count("*").alias("n"))
+    if detail:
+        texts = parts.withColumns({
+            "first_ts": F.coalesce(fn.iso("first_time"), "raw"), "last_ts": F.coalesce(fn.iso("last_time"), "raw")})
+        aggregates = [F.sum("n").alias("cnt")]
+        if samples:
+            # the values come last in the ordering, so the choice never depends on row order
+            aggregates.append(F.min(F.struct("first_ts", "source_file", *samples)).alias("first"))
+        if with_seen:
+            aggregates += [_first_seen("first_ts"), _last_seen("last_ts")]
+        grouped = texts.groupBy(*keys).agg(*aggregates)
+    else:
+        grouped = parts.withColumnRenamed("n", "cnt")
     for c in samples:
         grouped = grouped.withColumn(c, F.col("first")[c])
     seen = ["first_seen", "last_seen"] if with_seen else []

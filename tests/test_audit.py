@@ -182,11 +182,20 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(map(tuple, merged_summary(spark, out).collect())) == sorted(map(tuple, batch.collect()))
 
 
-def test_plans(spark, tmp_path):
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_aggregates_scan_once_and_hash_events(spark, tmp_path):
     path = str(tmp_path / "events")
     audit.events(lines(spark, *sample(20))).write.parquet(path)
-    plan = audit.summary(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
-    assert "IsNull(event_time)" in plan and "HashAggregate(keys=[window" in plan
-    assert "request_data" not in plan and "resource_hash" not in plan
+    events = spark.read.parquet(path)
+    for df in (audit.summary(events), audit.dependency(events), audit.dependency(events, with_seen=True)):
+        plan = _plan(df)
+        assert plan.count("FileScan parquet") == 1
+        # what stands between the scan and the first exchange hashes
+        below = plan[plan.rindex("Exchange"):]
+        assert "HashAggregate" in below and "SortAggregate" not in below
+        assert "request_data" not in plan and "resource_hash" not in plan
     parsed = audit.events(lines(spark, *sample(5)))._jdf.queryExecution().optimizedPlan().toString()
     assert parsed.count("from_json") == 1
