@@ -108,13 +108,10 @@ def _struct(*names: str) -> T.StructType:
 
 AUDIT_JSON = _struct(*[s for spellings, _ in AUDIT_FIELDS.values() for s in spellings])
 
-FLAT_AUDIT_JSON = T.StructType([
-    T.StructField("evtTime", T.LongType()),
-    *_struct(
-        "repoName", "user", "reqUser", "clientIP", "cliIP", "accessType", "access",
-        "result", "accessResult", "resourcePath", "resourceName", "requestData",
-    ).fields,
-])
+# the time may be a number, with a fraction too, or a quoted one
+FLAT_AUDIT_JSON = _struct(
+    "evtTime", "repoName", "user", "reqUser", "clientIP", "cliIP", "accessType", "access",
+    "result", "accessResult", "resourcePath", "resourceName", "requestData")
 
 ENTITY = T.StructType([
     T.StructField("guid", T.StringType()),

@@ -137,11 +137,17 @@ fe as (select make_timestamp(ms * 1000) as event_ts, strftime(make_timestamp(ms
 """
 
 
-@query("scan_json_inferred", FLAT + """select ms as "evtTime", service as "repoName", request_data as "requestData",
-  access_type as access_any from fe""", "audit")
+def _either(column: str, one: str, other: str, first: str | None = None) -> str:
+    return (f"""case when event_id % 2 = 0 then {first or column} end as "{one}", """
+            f"""case when event_id % 2 <> 0 then {column} end as "{other}\"""")
+
+
+@query("scan_json_inferred", f"""select case when ts_form > 0 then cast(evt_ms as double) end as "evtTime",
+  case when event_id % 15 <> 0 then repo end as "repoName", {_either("usr", "user", "reqUser")}, {_either("ip", "clientIP", "cliIP")},
+  {_either("access", "accessType", "access", "trim(access)")}, {_either("outcome", "result", "accessResult")},
+  {_either("path", "resourcePath", "resourceName")}, request as "requestData" from v_audit""", "audit")
 def _(i):
-    return i.flat_records().select(
-        "evtTime", "repoName", "requestData", F.coalesce("accessType", "access").alias("access_any"))
+    return i.flat_records()
 
 
 # --- filters ---
@@ -175,10 +181,13 @@ def _(i):
 
 # --- events ---
 
-@query("audit_normalize", EV + """select event_ts, service, "user", do_as, ugi, client_ip, client_host, access_type,
+NORMALIZED = EV + """select event_ts, service, "user", do_as, ugi, client_ip, client_host, access_type,
   action, op, result, policy_id, resource, dir as resource_dir, dir as resource_norm,
   case when dir = '' then '' else sha1(dir) end as resource_hash, app_name, request_data,
-  sha1(request_data) as request_hash, source_file from ev""", "audit")
+  sha1(request_data) as request_hash, source_file from ev"""
+
+
+@query("audit_normalize", NORMALIZED, "audit")
 def _(i):
     return audit.event_rows(i.events())
 
@@ -304,13 +313,13 @@ def _csv(i, path):
     return i.spark.read.options(**options).csv(path).na.fill("")
 
 
-@query("sink_events_csv", EV + """select event_ts, service, resource, request_data, op from ev""", "audit")
+@query("sink_events_csv", NORMALIZED, "audit")
 def _(i):
     path = i.scratch("events_csv")
     sinks.write_events(i.landed_events(), path)
     schema = ", ".join(f"`{c}` string" for c in sinks.EVENT_COLUMNS)
-    return i.spark.read.schema(schema).options(header="true", escape='"', lineSep="\r\n").csv(path).na.fill(
-        "").select("event_ts", "service", "resource", "request_data", "op")
+    options = {**sinks.CSV_OPTIONS, "nullValue": "\0"}
+    return i.spark.read.schema(schema).options(**options).csv(path).na.fill("")
 
 
 @query("sink_summary_csv", EV + f"""select {bucket(30)} as window_start, service, "user", do_as, ugi, client_ip, op,

@@ -141,22 +141,28 @@ class Inputs:
         return flat_audit(self.spark, path)
 
     def _write_flat_json(self, path: str) -> None:
-        a, one = self.view("audit"), F.col("event_id") % 2 == 0
-        a.select(
-            F.when(F.col("ts_form") > 0, F.col("evt_ms")).alias("evtTime"),
-            F.when(F.col("event_id") % 15 != 0, F.col("repo")).alias("repoName"),
+        a, one, n = self.view("audit"), F.col("event_id") % 2 == 0, F.col("event_id")
+        rest = [
+            F.when(n % 15 != 0, F.col("repo")).alias("repoName"),
             _when(one, "usr").alias("user"), _when(~one, "usr").alias("reqUser"),
             _when(one, "ip").alias("clientIP"), _when(~one, "ip").alias("cliIP"),
             _when(one, F.trim("access")).alias("accessType"), _when(~one, "access").alias("access"),
             _when(one, "outcome").alias("result"), _when(~one, "outcome").alias("accessResult"),
             _when(one, "path").alias("resourcePath"), _when(~one, "path").alias("resourceName"),
-            F.col("request").alias("requestData"),
-        ).write.json(path)
+            F.col("request").alias("requestData")]
+
+        def line(time: Column) -> Column:
+            return F.to_json(F.struct(time.alias("evtTime"), *rest))
+
+        # as a number, as a number with a fraction or exponent, quoted, and as no number at all
+        lines = F.when(F.col("ts_form") == 0, line(F.lit("soon"))).when(n % 3 == 0, line(F.col("evt_ms"))).when(
+            n % 3 == 1, line(F.col("evt_ms").cast("double"))).otherwise(line(F.col("evt_ms").cast("string")))
+        a.select(lines.alias("value")).write.text(path)
 
     # --- lineage ---
 
-    def entities(self) -> DataFrame:
-        e = self.view("entities")
+    def entities(self, view: str = "entities") -> DataFrame:
+        e = self.view(view)
         return e.select(
             "guid", F.col("type_name").alias("typeName"),
             F.struct(
@@ -278,5 +284,5 @@ class Inputs:
     def hive_tables(self) -> DataFrame:
         return self.view("hive_tables").select("db", "tbl", "pos")
 
-    def describe_lines(self) -> DataFrame:
-        return self.view("describe_lines")
+    def describe_lines(self, view: str = "describe_lines") -> DataFrame:
+        return self.view(view)

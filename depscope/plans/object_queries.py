@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import functions as fn, sinks, sources
-from ..model import OBJECT_COLUMNS
+from ..model import DATABASE_HEADERS, OBJECT_COLUMNS
 from ..operators import objects
 from ..sources.catalog import parse_kudu_descriptions
 from .registry import query
@@ -201,10 +201,13 @@ def _(i):
 FIRST_POS = ", dbs as (select db, min(pos) as pos from v_hive_tables group by db)\n"
 
 
-@query("filter_header_tokens", """select db, tbl from v_hive_tables where lower(db) <> 'brand#1'""", "hive_tables")
+@query("filter_header_tokens", "select db, tbl from v_hive_tables where pos % 10 > 2", "hive_tables")
 def _(i):
-    # header words stand where a listing tool printed its header; one brand plays that part
-    return objects.drop_headers(i.hive_tables(), "db", ["brand#1"]).select("db", "tbl")
+    # header words, in any case and with blanks, where a listing tool printed its header
+    n = F.col("pos") % 10
+    db = F.when(n == 0, F.lit(" Name ")).when(n == 1, F.lit("DATABASE_NAME")).when(n == 2, F.lit("  ")).otherwise(F.col("db"))
+    listed = i.hive_tables().withColumn("db", db)
+    return objects.drop_headers(listed, "db", DATABASE_HEADERS).select("db", "tbl")
 
 
 @query("filter_exclude_databases", FIRST_POS + "select db from dbs where lower(db) not in ('brand#2', 'brand#3')", "hive_tables")
@@ -267,17 +270,17 @@ def _(i):
 
 
 def _described(i):
-    return objects.with_descriptions(i.hive_tables(), objects.describe_pivot(i.describe_lines()))
+    return objects.with_descriptions(i.hive_tables(), objects.describe_pivot(i.describe_lines("described_lines")))
 
 
 @query("join_describe_results", DESCRIBED + "select db, tbl, table_type, owner, location, storage_format from j",
-       "describe_lines", "hive_tables")
+       "describe_lines=described_lines", "hive_tables")
 def _(i):
     return _described(i)
 
 
 @query("hive_to_object", DESCRIBED + f"select {HIVE_ROW}, owner, '' as \"group\", {EXTRA} as extra from j",
-       "describe_lines", "hive_tables")
+       "describe_lines=described_lines", "hive_tables")
 def _(i):
     return objects.from_hive(_described(i))
 
@@ -290,15 +293,15 @@ def _(i):
 
 
 @query("agg_storage_distribution", DESCRIBED + """select storage_format as storage, count(*) as cnt from j
-  where storage_format <> 'error' group by 1""", "describe_lines", "hive_tables")
+  where storage_format <> 'error' group by 1""", "describe_lines=described_lines", "hive_tables")
 @query("sort_storage_desc", DESCRIBED + """select storage_format as storage, count(*) as cnt from j
-  where storage_format <> 'error' group by 1 order by 2 desc, 1""", "describe_lines", "hive_tables")
+  where storage_format <> 'error' group by 1 order by 2 desc, 1""", "describe_lines=described_lines", "hive_tables")
 def _(i):
     return objects.storage_distribution(_described(i))
 
 
 @query("agg_storage_distribution_all", DESCRIBED + "select storage_format as storage, count(*) as cnt from j group by 1",
-       "describe_lines", "hive_tables")
+       "describe_lines=described_lines", "hive_tables")
 def _(i):
     return objects.storage_distribution(_described(i), include_errors=True)
 

@@ -104,5 +104,7 @@ def first_files(spark: SparkSession, folders: list[str], n: int) -> DataFrame:
 
 
 def flat_audit(spark: SparkSession, *paths: str) -> DataFrame:
-    """JSON audit records for the Parquet pair; absent fields are null."""
-    return spark.read.schema(FLAT_AUDIT_JSON).json(list(paths))
+    """JSON audit records for the Parquet pair; absent fields, and times that are no number,
+    are null."""
+    records = spark.read.schema(FLAT_AUDIT_JSON).json(list(paths))
+    return records.withColumn("evtTime", F.col("evtTime").try_cast("double"))
