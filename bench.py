@@ -19,7 +19,8 @@ HEADLINE = [
     "agg_run_counters", "listing_to_object", "hive_to_object", "entity_to_object",
     "join_owner_map", "union_rm_jhs", "spark_app_to_access", "union_cdsw",
     "join_guid_to_name", "join_lineage_two_hop", "lineage_collapse_triple",
-    "dedup_lineage_pair", "join_edges_to_nodes", "sort_summary",
+    "dedup_lineage_pair", "join_edges_to_nodes", "sort_summary", "agg_sample_value",
+    "sink_graph_edges", "scan_cdsw",
 ]
 
 

@@ -83,10 +83,13 @@ def safe_ts(c: Column | str) -> Column:
 
 
 def parse_iso(c: Column | str) -> Column:
-    """Text of the form ``2024-01-31T13:30:00Z`` to a timestamp; anything else is null."""
+    """Text of the form ``2024-01-31T13:30:00Z`` to a timestamp; anything else is null.
+
+    Fields after the year may have one digit.
+    """
     c = col(c)
-    shape = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"
-    return F.try_to_timestamp(F.when(c.rlike(shape), c), F.lit(ISO))
+    shape = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}Z$"
+    return F.try_to_timestamp(F.when(c.rlike(shape), c), F.lit("yyyy-M-d'T'H:m:s'Z'"))
 
 
 def date_to_ms(c: Column | str) -> Column:

@@ -107,10 +107,11 @@ def event_rows(df: DataFrame) -> DataFrame:
     return df.select(*EVENT_COLUMNS)
 
 
-def counters(lines: DataFrame, skip_nonjson: bool = True) -> DataFrame:
+def counters(lines: DataFrame, skip_nonjson: bool = True, files: int | None = None) -> DataFrame:
     """One row: files, events, filtered and bad_json of a run.
 
-    One scan: lines that the parser skips stay in, so that their files are counted too.
+    One scan: lines that the parser skips stay in, so that their files are counted too. Files
+    without any line are counted if their number is given (``sources.audit_file_count``).
     """
     tried = fn.is_braced("line") if skip_nonjson else fn.strip_line("line") != ""
     marked = lines.select("source_file", tried.alias("tried"), "line")
@@ -121,7 +122,16 @@ def counters(lines: DataFrame, skip_nonjson: bool = True) -> DataFrame:
         F.count_if(good & ~noise).alias("events"), F.count_if(noise).alias("filtered"),
         F.count_if(F.col("tried") & ~good).alias("bad_json"))
     totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("events", "filtered", "bad_json")]
-    return per_file.agg(*totals, F.count("*").alias("files"))
+    counted = F.count("*") if files is None else F.lit(files).cast("bigint")
+    return per_file.agg(*totals, counted.alias("files"))
+
+
+def output_rows(**outputs: DataFrame) -> DataFrame:
+    """output and rows of each table of a run; give stored ones."""
+    counts = [
+        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("output"), "rows")
+        for name, df in outputs.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _first_seen(c: str):

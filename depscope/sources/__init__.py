@@ -5,7 +5,7 @@ in its source: file, block within the file, row.
 """
 
 from .audit import (  # noqa: F401
-    audit_folders, audit_lines, date_range, flat_audit, lines,
+    audit_file_count, audit_folders, audit_lines, date_range, flat_audit, lines,
 )
 from .catalog import (  # noqa: F401
     entities, hive_describe_lines, hive_listing, kudu_descriptions, kudu_tables,

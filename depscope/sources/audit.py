@@ -96,6 +96,15 @@ def audit_lines(
     return lines(spark, *[row.path for row in listed.select("path").collect()])
 
 
+def audit_file_count(
+    spark: SparkSession, root: str, first: dt.date, last: dt.date, services: list[str] | None = None
+) -> int:
+    """Number of files in the selected folders, empty ones too: one question per folder."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(f) for f in audit_folders(spark, root, first, last, services)]
+    return sum(p.getFileSystem(conf).getContentSummary(p).getFileCount() for p in paths)
+
+
 def first_files(spark: SparkSession, folders: list[str], n: int) -> DataFrame:
     """First ``n`` files in order of service, date folder and name; contents are not read."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import functions as fn
@@ -61,7 +62,7 @@ def parse_kudu_descriptions(captures: DataFrame) -> DataFrame:
 
 def kudu_descriptions(spark: SparkSession, folder: str) -> DataFrame:
     """Descriptions saved as ``<table>.json``, one document per file."""
-    text = spark.read.option("wholetext", True).text(folder)
+    text = spark.read.text(folder, wholetext=True)
     name = F.regexp_replace(fn.basename(F.col("_metadata.file_path")), r"\.json$", "")
     return parse_kudu_descriptions(text.select(
         F.url_decode(name).alias("table_name"), F.col("value").alias("json"),
@@ -83,25 +84,33 @@ def hive_describe_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def live_hive_listing(spark: SparkSession, databases: list[str] | None = None) -> DataFrame:
-    """Databases and tables of the session's catalog (names only, held by the metastore)."""
+    """Databases and tables of the session's catalog.
+
+    The metastore answers one call per database with names only; they make one table here,
+    whatever the number of databases.
+    """
     names = databases or [row[0] for row in spark.sql("SHOW DATABASES").collect()]
-    rows = None
-    for db in names:
-        listed = spark.sql(f"SHOW TABLES IN `{db}`").filter("not isTemporary").select(
-            F.lit(db).alias("db"), F.col("tableName").alias("tbl"))
-        rows = listed if rows is None else rows.union(listed)
-    return rows.withColumn("pos", F.struct("db", "tbl"))
-
-
-def live_describe(spark: SparkSession, db: str, tbl: str) -> DataFrame:
-    """Description lines of one table of the session's catalog, tab-separated."""
-    facts = spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{tbl}`")
-    # this catalog's words for two of the keys; a Hive table also has its own input format,
-    # which comes later and wins
-    key = (
-        F.when(F.col("col_name") == "Type", "Table Type")
-        .when(F.col("col_name") == "Provider", "InputFormat").otherwise(F.col("col_name")))
-    return facts.select(
-        F.lit(db).alias("db"), F.lit(tbl).alias("tbl"),
-        F.monotonically_increasing_id().alias("line_no"),
-        F.concat_ws("\t", key, "data_type").alias("line"))
+    rows = [
+        (db, row.tableName) for db in names
+        for row in spark.sql(f"SHOW TABLES IN `{db}`").filter("not isTemporary").collect()]
+    listed = spark.createDataFrame(rows, "db string, tbl string")
+    return listed.withColumn("pos", F.struct("db", "tbl"))
+
+
+def live_describe(spark: SparkSession, *tables: tuple[str, str]) -> DataFrame:
+    """Description lines of (database, table) pairs of the session's catalog, tab-separated.
+
+    One call to the metastore per table; all answers make one table here. A table that
+    cannot be described has no lines, as a failed capture has none.
+    """
+    rows = []
+    for db, tbl in tables:
+        try:
+            facts = spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{tbl}`").collect()
+        except AnalysisException:
+            continue
+        # this catalog's words for two of the keys; a Hive table also has its own input format,
+        # which comes later and wins
+        keys = {"Type": "Table Type", "Provider": "InputFormat"}
+        rows += [(db, tbl, k, "\t".join([keys.get(f.col_name, f.col_name), f.data_type or ""])) for k, f in enumerate(facts)]
+    return spark.createDataFrame(rows, "db string, tbl string, line_no long, line string")

@@ -49,12 +49,16 @@ def jdbc_listing(
     permissions: str = "permissions",
     fetch_size: int = 10000,
 ) -> DataFrame:
-    """Listing columns of a database table. ``options``: url, user, driver and, for a
-    parallel read, partitionColumn with its bounds and numPartitions.
+    """Listing columns of a database table. ``options``: url, user, driver, and the
+    partitionColumn with its bounds and numPartitions, without which one task would read
+    the whole table over one connection.
 
     A table has no order of its own; the columns themselves decide which row of a
     directory is first, so reruns agree.
     """
+    missing = {"partitionColumn", "lowerBound", "upperBound", "numPartitions"} - set(options)
+    if missing:
+        raise ValueError(f"a parallel read needs the options {sorted(missing)}")
     reader = (
         spark.read.format("jdbc").options(**options)
         .option("dbtable", f'"{table}"').option("fetchsize", fetch_size)

@@ -199,3 +199,17 @@ def test_aggregates_scan_once_and_hash_events(spark, tmp_path):
         assert "request_data" not in plan and "resource_hash" not in plan
     parsed = audit.events(lines(spark, *sample(5)))._jdf.queryExecution().optimizedPlan().toString()
     assert parsed.count("from_json") == 1
+
+
+def test_counters_of_a_run(spark, tmp_path):
+    day = tmp_path / "hdfs" / "20240101"
+    day.mkdir(parents=True)
+    (day / "a.json").write_text("\n".join(sample(5)) + "\nnot json\n")
+    (day / "empty.json").write_text("")
+    span = (dt.date(2024, 1, 1), dt.date(2024, 1, 2))
+    found = sources.audit_lines(spark, str(tmp_path), *span)
+    assert audit.counters(found).first().files == 1
+    counted = audit.counters(found, files=sources.audit_file_count(spark, str(tmp_path), *span)).first()
+    assert counted.files == 2 and counted.events == audit.counters(found).first().events
+    rows = audit.output_rows(events=audit.events(found), nothing=spark.range(0))
+    assert {r.output: r.rows for r in rows.collect()} == {"events": counted.events, "nothing": 0}

@@ -92,7 +92,7 @@ def test_spark_history(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([
         {"id": "a1", "name": "n", "attempts": [{"startTime": "x", "sparkUser": "o"},
                                                {"startTime": "2024-01-01T00:00:00.1GMT", "sparkUser": "u"}]},
-        {"id": "a2", "attempts": []}, {"id": "a1", "name": "copy"}, {"name": "no id"}]))
+        {"id": "a2", "attempts": []}, {"id": "a1", "name": "copy"}, {"name": "no id"}], indent=1))
     (tmp_path / "b.json").write_text('{"error": "busy"}')
     apps = sources.spark_apps(spark, str(tmp_path), multi_line=True)
     rows = sorted((r.object_id, r.window_start, r.user, r.app_name) for r in access.from_spark_history(apps).collect())
@@ -319,7 +319,7 @@ def test_live_catalog(spark):
     try:
         tables = sources.live_hive_listing(spark, ["default"])
         assert ("default.depscope_t",) in [tuple(r) for r in objects.from_hive_list(tables).select("object_id").collect()]
-        facts = objects.describe_pivot(sources.live_describe(spark, "default", "depscope_t")).first()
+        facts = objects.describe_pivot(sources.live_describe(spark, ("default", "no_such"), ("default", "depscope_t"))).first()
         assert (facts.table_type, facts.storage_format) == ("MANAGED", "parquet")
     finally:
         spark.sql("drop table default.depscope_t")
@@ -392,3 +392,17 @@ def test_stored_tables_can_be_dropped(spark):
     drop_stored(spark)
     kept = store(spark.range(3), "x")
     assert kept.count() == 3 and drop_stored(spark) == 1 and drop_stored(spark) == 0
+
+
+def test_kudu_descriptions_by_file(spark, tmp_path):
+    (tmp_path / "db.t 1.json").write_text('{"owner": "x",\n "columns": []}')
+    (tmp_path / "db.t2.json").write_text("no json")
+    described = sources.kudu_descriptions(spark, str(tmp_path))
+    assert sorted((r.table_name, r.owner) for r in described.collect()) == [("db.t 1", "x"), ("db.t2", "")]
+    tables = spark.createDataFrame([("db.t 1", 1), ("db.t2", 2)], "table_name string, pos int")
+    assert objects.owner_counts(objects.from_kudu(tables, described)).first() == (1, 2)
+
+
+def test_jdbc_listing_is_read_in_parallel(spark):
+    with pytest.raises(ValueError, match="numPartitions"):
+        sources.jdbc_listing(spark, {"url": "jdbc:none"})

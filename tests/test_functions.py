@@ -66,8 +66,8 @@ def test_safe_ts(apply):
 
 def test_parse_iso(apply):
     got = apply(lambda c: fn.iso(fn.parse_iso(c)), [
-        "2024-01-31T13:30:00Z", "2024-01-31 13:30:00", "2024-02-31T00:00:00Z", "", None])
-    assert got == ["2024-01-31T13:30:00Z", None, None, None, None]
+        "2024-01-31T13:30:00Z", "2024-01-31 13:30:00", "2024-02-31T00:00:00Z", "", None, "2024-1-1T1:2:3Z"])
+    assert got == ["2024-01-31T13:30:00Z", None, None, None, None, "2024-01-01T01:02:03Z"]
 
 
 def test_dates(apply):
