@@ -47,6 +47,8 @@ _BASE = 0x9E3779B97F4A7C15
 _MIX = (0x7FB5D329728EA185, 0x81DADEF4BC2DD44D)
 
 _TAG_BITS, _COUNT_BITS = 24, 7
+#: Splitters are found as floating-point numbers, which hold so many bits less.
+_SPLIT_SHIFT = 11
 #: Low digits of a print that hold a place among the bytes worked on at once.
 _PLACE = np.uint64((1 << 18) - 1)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -176,7 +178,8 @@ def _splitters(keyed: DataFrame, ranges: int, anchors: Callable, total: int) ->
     share = min(1.0, SAMPLE_PER_RANGE * ranges / max(1, total))
     sample = keyed.sample(share, seed=7).mapInArrow(anchors, "anchor bigint")
     points = [k / ranges for k in range(1, ranges)]
-    found = sample.agg(F.percentile_approx("anchor", points, 10_000).alias("p")).first().p if points else []
+    leading = F.shiftright("anchor", _SPLIT_SHIFT)
+    found = sample.agg(F.percentile_approx(leading, points, 10_000).alias("p")).first().p if points else []
     return np.array(found or [], np.int64)
 
 
@@ -201,7 +204,7 @@ def _records(keyed: DataFrame, length: int, lead: int, ranges: int) -> DataFrame
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for anchor, block, doc, place in arrays(batches):
-            low, high = np.searchsorted(split, anchor, "left"), np.searchsorted(split, anchor, "right")
+            low, high = (np.searchsorted(split, anchor >> _SPLIT_SHIFT, end) for end in ("left", "right"))
             # an anchor that is the end of several ranges fills them by itself
             spread = high - low > 1
             turn = _mix(doc.view(np.uint64) ^ place.astype(np.uint64)) % np.maximum(high - low, 1).astype(np.uint64)
