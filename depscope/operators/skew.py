@@ -74,8 +74,9 @@ def product_join(left: DataFrame, right: DataFrame, on: list[str], pairs: int =
     """
     _same_types(left, right, on)
     n, m = F.col("_left"), F.col("_right")
-    sizes = left.groupBy(*on).agg(F.count("*").alias("_left")).join(
-        right.groupBy(*on).agg(F.count("*").alias("_right")), on)
+    sides = left.select(*on, F.lit(1).alias("_left"), F.lit(0).alias("_right")).unionByName(
+        right.select(*on, F.lit(0).alias("_left"), F.lit(1).alias("_right")))
+    sizes = sides.groupBy(*on).agg(F.sum("_left").alias("_left"), F.sum("_right").alias("_right"))
     cells = F.ceil(n.cast("decimal(19,0)") * m / pairs).cast("bigint")
     long = F.least(F.greatest(n, m), F.col("_cells"))
     short = F.least(F.least(n, m), F.ceil(F.col("_cells") / F.col("_long")))
