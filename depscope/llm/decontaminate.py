@@ -4,8 +4,9 @@ A mask tells which words of a window count; the others may differ. Each mask has
 words of every window of the test items and of the documents, and equal hashes are joined. A hit
 fixes an alignment of item and document, which is then compared word by word: it is
 contaminated if some run of ``RUN_WORDS`` aligned words (the whole item, if shorter) agrees in
-``SIMILARITY_PERCENT`` or more of its words. Any two substitutions in such a run leave a window
-that either mask still hits, so that no such run is missed.
+``SIMILARITY_PERCENT`` or more of its words. The masks have a window that avoids any two
+substitutions in a run, and those for short items one that avoids as many as these may have, so
+that nothing within the threshold is missed.
 """
 
 from __future__ import annotations
@@ -17,7 +18,11 @@ from .common import bounded_broadcast, free_name, present, quoted
 
 #: 1: the word counts; 0: it may be any. Both have a window in every 13 words with 2 substitutions.
 MASKS = ("11010011", "11001011")
+#: For items shorter than a run: together they miss no item of MIN_WORDS to 12 words.
+SHORT_MASKS = ("1011", "1101")
 RUN_WORDS = 13
+#: Items with fewer words are too short to tell a leak from common speech, and match nothing.
+MIN_WORDS = 5
 SIMILARITY_PERCENT = 80
 #: Seeds of the test items are broadcast up to so many rows (about 40 bytes each), as are the
 #: items themselves and the keys of documents with a hit; larger ones are joined by shuffles.
@@ -39,9 +44,9 @@ def seeds(rows: DataFrame, keys: list[str], masks: tuple[str, ...] = MASKS) -> D
     windows = rows.select(*keys, F.posexplode(F.arrays_zip(*shifted)).alias("at", "w"))
     columns = {i: F.col("w").getField(str(k)) for k, i in enumerate(used)}
     parts = []
-    for k, m in enumerate(masks):
+    for m in masks:
         on = [columns[i] for i, c in enumerate(m) if c == "1"]
-        parts.append(F.when(on[-1].isNotNull(), F.xxhash64(F.lit(k), *on)))
+        parts.append(F.when(on[-1].isNotNull(), F.xxhash64(F.lit(m), *on)))
     found = windows.select(*keys, "at", F.explode(F.array(*parts)).alias("seed"))
     return found.where(F.col("seed").isNotNull())
 
@@ -53,20 +58,26 @@ def _best_run(equal: Column, run_words: int) -> Column:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, run_words: int = RUN_WORDS,
-                 similarity_percent: int = SIMILARITY_PERCENT) -> DataFrame:
+                 similarity_percent: int = SIMILARITY_PERCENT, short_masks: tuple[str, ...] = SHORT_MASKS) -> DataFrame:
     """doc_id, text_key, item_id, n_words (of the item), matched_words: one row for each pair.
 
     ``text_key`` is a hash of the text, so that a null or repeated doc_id still tells documents
     apart; ``matched_words`` is the best alignment's count. Null and empty texts match nothing,
-    nor do items with fewer words than a mask. Repeated rows give one result. Items of equal
-    words are searched once. Hits are counted once per document, item and alignment before
+    nor do items with fewer than ``MIN_WORDS`` words. Repeated rows give one result. Items of equal
+    words are searched once. Documents get seeds of the short masks only where some item is short. Hits are counted once per document, item and alignment before
     anything else is done with them; texts are read again only for documents with a hit.
     """
     items = benchmark.select(present(benchmark, "item_id", "bigint").alias("item_id"),
                              word_hashes(present(benchmark, "text", "string")).alias("hashes"))
-    items = store(items.withColumn("item", F.xxhash64("hashes")), "items")
+    items = store(items.where(F.size("hashes") >= MIN_WORDS).withColumn("item", F.xxhash64("hashes")), "items")
     texts = items.groupBy("item").agg(F.first("hashes").alias("item_hashes"))
-    item_seeds = store(seeds(texts.withColumnRenamed("item_hashes", "hashes"), ["item"], masks).distinct(), "item_seeds")
+    by_item = texts.withColumnRenamed("item_hashes", "hashes")
+    is_short = F.size("hashes") < run_words
+    wanted = seeds(by_item.where(~is_short), ["item"], masks)
+    if items.where(is_short).limit(1).count():
+        wanted = wanted.unionByName(seeds(by_item.where(is_short), ["item"], short_masks))
+        masks = masks + short_masks
+    item_seeds = store(wanted.distinct(), "item_seeds")
 
     text = present(docs, "text", "string")
     own = docs.select(present(docs, "doc_id", "bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), word_hashes(text).alias("hashes"))

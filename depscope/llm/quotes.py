@@ -15,6 +15,8 @@ from .common import bounded_broadcast, present
 
 #: Messages of a conversation are numbered in blocks of so many turns, side by side.
 BLOCK_TURNS = 256
+#: A block with more messages (many share a turn, or have no conversation) is cut into ranges.
+BLOCK_ROWS = 100_000
 #: Hashes of quoted passages, and links of messages, are broadcast up to so many rows.
 BROADCAST_ROWS = 500_000
 
@@ -104,7 +106,8 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     Null ids form one conversation; messages without a turn come first and are never linked.
     Null and empty texts stay as they are. Repeated messages keep their rows. Columns other
     than conv_id, turn, role and text are not looked at. A conversation is never gathered in a
-    task: blocks of turns are numbered side by side and shifted by the blocks before them.
+    task: blocks of turns, and ranges of a block with very many messages, are numbered side by side
+    and shifted by those before them.
     """
     messages = _messages(conversations)
     linked = bounded_broadcast(links(messages), BROADCAST_ROWS)
@@ -112,19 +115,32 @@ def reply_ordered(conversations: DataFrame) -> DataFrame:
     same = F.lit(True)
     for k in _KEY:
         same = same & F.col(k).eqNullSafe(F.col(f"l_{k}"))
-    known = messages.join(linked, same, "left").select(
-        *_KEY, own_text(F.col("text")).alias("text"), "n_quotes", "n_linked", "linked_turn",
-        F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 60))).alias("block"))
-    group = ["conv", "no_conv"]
-    inside = Window.partitionBy(*group, "block").orderBy("turn", "role", "text", "text_key")
-    numbered = known.withColumns({"k": F.row_number().over(inside) - 1, "before": F.lag("turn").over(inside)})
+    group, order = ["conv", "no_conv"], ["turn", "role", "text", "text_key"]
+    block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 60))).alias("block")
+
+    def with_links(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.join(linked, same, "left").select(
+            *_KEY, own_text(F.col("text")).alias("text"), "n_quotes", "n_linked", "linked_turn", block, *more)
+
     # the same key columns without texts: a row for each block
-    blocks = messages.select(*group, "turn", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 60))).alias("block"))
-    sizes = blocks.groupBy(*group, "block").agg(F.count("*").alias("n"), F.max("turn").alias("last"))
-    ordered = Window.partitionBy(*group).orderBy("block")
-    offsets = sizes.select(*group, "block", F.lag("last").over(ordered).alias("last_before"), F.coalesce(
+    blocks = messages.select(*group, "turn", block)
+    sizes = store(blocks.groupBy(*group, "block").agg(F.count("*").alias("n"), F.max("turn").alias("last")), "blocks")
+    known, sizes = with_links(messages).withColumn("range", F.lit(0)), sizes.withColumn("range", F.lit(0))
+    crowded = sizes.where(F.col("n") > BLOCK_ROWS).select(*group, "block")
+    if crowded.limit(1).count():
+        crowded, in_block = bounded_broadcast(crowded, BROADCAST_ROWS), [*group, "block"]
+        # the place in the table parts messages that are alike; it is given where they are read
+        dealt = with_links(messages.withColumn("place", F.monotonically_increasing_id()), "place").join(crowded, in_block, "left_semi")
+        ranges = store(dealt.repartitionByRange(*in_block, *order, "place").withColumn("range", F.spark_partition_id()).drop("place"), "ranges")
+        known = known.join(crowded, in_block, "left_anti").unionByName(ranges)
+        sizes = sizes.join(crowded, in_block, "left_anti").unionByName(
+            ranges.groupBy(*in_block, "range").agg(F.count("*").alias("n"), F.max("turn").alias("last")))
+    inside = Window.partitionBy(*group, "block", "range").orderBy(*order)
+    numbered = known.withColumns({"k": F.row_number().over(inside) - 1, "before": F.lag("turn").over(inside)})
+    ordered = Window.partitionBy(*group).orderBy("block", "range")
+    offsets = sizes.select(*group, "block", "range", F.lag("last").over(ordered).alias("last_before"), F.coalesce(
         F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    placed = numbered.join(offsets, [*group, "block"])
+    placed = numbered.join(offsets, [*group, "block", "range"])
     return placed.select(
         F.when(~F.col("no_conv"), F.col("conv")).alias("conv_id"), (F.col("k") + F.col("offset")).alias("position"), "turn", "role", "text",
         F.coalesce("linked_turn", F.when(F.col("k") > 0, F.col("before")).otherwise(F.col("last_before"))).alias("reply_to"),

@@ -90,7 +90,7 @@ def leaks(docs, items, run_words=13):
             words = tokens(passage)
             run = min(run_words, len(words))
             need = -(-run * 80 // 100)
-            if len(words) < 8:
+            if len(words) < 5:
                 continue
             shifts = defaultdict(list)
             for q, w in enumerate(words):

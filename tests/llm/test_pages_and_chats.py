@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from depscope.llm import extract, quotes
@@ -73,6 +75,20 @@ def test_replies_by_shuffled_joins(llm, monkeypatch):
     assert sorted(map(str, quotes.reply_ordered(df).collect())) == usual
 
 
+def test_crowded_blocks(llm, monkeypatch):
+    """Many messages without a conversation share a few turns; many are alike."""
+    rng = random.Random(4)
+    rows = [(None, rng.choice([None, 0, 1, 2, 300]), rng.choice(["user", "assistant"]), rng.choice(["ok", "> ok\nyes", None, "text"]) if k % 3 else f"m {k}")
+            for k in range(900)]
+    rows += [r for r in CHAT if r[0] is not None] + [(None, 1, "user", "ok")] * 400
+    df = llm.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    usual = sorted(map(str, quotes.reply_ordered(df).collect()))
+    monkeypatch.setattr(quotes, "BLOCK_ROWS", 50)
+    assert sorted(map(str, quotes.reply_ordered(df).collect())) == usual and len(usual) == len(rows)
+    known = [r for r in quotes.reply_ordered(df).collect() if r.conv_id is None]
+    assert sorted(r.position for r in known) == list(range(len(known)))
+
+
 def test_replies_messy(llm):
     df = llm.createDataFrame([(*r, "clash", 1) for r in CHAT], "conv_id long, turn long, role string, text string, position string, block int")
     assert quotes.reply_ordered(df).count() == len(CHAT)
