@@ -86,9 +86,9 @@ from ordered o left join linked l on o.conv_id is not distinct from l.conv_id an
 
 QUALITY_SQL = rf"""
 with split as (select doc_id, lang, source,
-    list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> '') as ws,
-    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) as ls,
-    length(regexp_replace(coalesce(text, ''), '[ 	-]+', '', 'g')) as word_chars,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls,
+    length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
     length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]+', '', 'g')) as n_symbols from documents),
 windows as (select doc_id, i, array_to_string(ws[i:i + {quality.WINDOW - 1}], ' ') as w
             from (select doc_id, ws, unnest(generate_series(1, len(ws) - {quality.WINDOW - 1})) as i from split)),

@@ -43,6 +43,24 @@ def test_replies_sql_on_quotes(llm):
     same_rows(con, queries.REPLIES_SQL, queries.quotes.reply_ordered(df))
 
 
+def test_sql_on_all_white_space(llm):
+    """The sample texts hold blanks and line feeds only; words and lines end at other white space, too."""
+    blanks, rows = [" ", "\t", "\n", "\x0b", "\f", "\r", "\r\n"], []
+    for k in range(140):
+        text = blanks[k % 7].join(f"w{(k * j) % 17}" for j in range(6 + k % 40))
+        rows.append((k, text + blanks[k % 5] + "#end" * (k % 3) + "\nmenu\r\n\x0b\nmenu\f", "en", f"s{k % 2}"))
+    rows += [(200, None, None, None), (201, "", "en", "s0"), (202, " \r\x0b\n\f", "de", None)]
+    columns = "doc_id {}, text {}, lang {}, source {}"
+    docs = llm.createDataFrame(rows, columns.format("long", *["string"] * 3))
+    con = duckdb.connect()
+    con.execute(f"create table documents ({columns.format('bigint', *['varchar'] * 3)})")
+    con.executemany("insert into documents values (?, ?, ?, ?)", rows)
+    same_rows(con, queries.QUALITY_SQL, queries.quality.assess(docs, [docs.doc_id]))
+    found = lines.drop_boilerplate(docs).select("doc_id", "source", "n_lines", "n_dropped", "text")
+    assert found.where("n_dropped > 0").count() > 100
+    same_rows(con, queries.LINES_SQL, found)
+
+
 @pytest.mark.parametrize("number", range(1, 11))
 def test_one_query_for_each_operator(number):
     assert sum(n.startswith(f"op{number}_") for n in queries.llm_queries()) == 1
