@@ -56,6 +56,7 @@ LINK_LIMIT = 0.25
 _TOKEN = regex.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", regex.S)
 _ATTRIBUTE = regex.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_RAW_END = {tag: regex.compile(rf"</{tag}(?=[\s/>]|\Z)", regex.A | regex.I) for tag in RAW}
 _WORD = regex.compile(r"[a-z]+")
 _HIDDEN = regex.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -114,7 +115,6 @@ class _Page:
                     return None
             return None
 
-        lower = page.lower()
         while True:
             m = _TOKEN.search(page, at)
             put(html.unescape(page[at : m.start() if m else len(page)]))
@@ -134,8 +134,8 @@ class _Page:
                     close(depth)
                 continue
             if tag in RAW:
-                end = lower.find(f"</{tag}", at)
-                at = len(page) if end < 0 else end
+                end = _RAW_END[tag].search(page, at)
+                at = end.start() if end else len(page)
                 continue
             if tag in VOID:
                 if tag in ("br", "hr"):
