@@ -20,9 +20,11 @@ SHARDS = 40
 ROUNDS = 10
 #: During the rounds a shard may hold so much more than its quota, so that full shards can swap.
 SLACK_PERCENT = 10
-#: Numbering splits a group into so many hash buckets, which are numbered side by side; where
-#: rows of one kind are to stay together, each bucket is split again.
+#: Numbering splits a group into so many hash buckets at least, which are numbered side by side,
+#: and into more where they would hold more rows than this; where rows of one kind are to stay
+#: together, each bucket is split again.
 BUCKETS = 1024
+BUCKET_ROWS = 1_000_000
 SUB_BUCKETS = 64
 
 
@@ -47,6 +49,10 @@ def number(df: DataFrame, group: list[str], order: list[str], name: str, spread:
     return dealt.withColumn(name, inside).join(offsets, keys).withColumn(name, F.col(name) + F.col("_offset")).drop("_bucket", "_offset")
 
 
+def buckets_for(total: int) -> int:
+    return max(BUCKETS, total // BUCKET_ROWS)
+
+
 def _pick(values: list[int], index: Column) -> Column:
     return F.get(F.array(*(F.lit(v).cast("bigint") for v in values)), index)
 
@@ -76,10 +82,10 @@ def assign(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     sized = store(rows.select("row", "group").join(store(sizes.where("group_n > 1"), "groups"), "group", "left"), "sized")
     part_size = max(1, total // shards // 2)  # two parts can share a shard, and one leaves room for small groups
     large = sized.where(F.col("group_n") > part_size)
-    parts = number(large, ["group"], ["row"], "k").withColumn("part", F.floor(F.col("k") / part_size)).drop("k")
+    parts = number(large, ["group"], ["row"], "k", buckets=buckets_for(total)).withColumn("part", F.floor(F.col("k") / part_size)).drop("k")
     linked = parts.unionByName(sized.where(F.col("group_n") <= part_size).withColumn("part", F.lit(0).cast("bigint")))
     linked = store(linked.select("row", "group", "part"), "linked")
-    placed = store(number(linked, [], ["row"], "k").select("row", "group", "part", (F.col("k") % shards).cast("int").alias("shard")), "placed")
+    placed = store(number(linked, [], ["row"], "k", buckets=buckets_for(total)).select("row", "group", "part", (F.col("k") % shards).cast("int").alias("shard")), "placed")
 
     for _ in range(rounds):
         votes = placed.groupBy("group", "part", "shard").agg(F.count("*").alias("own"))
@@ -114,7 +120,7 @@ def assign(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
         end += q - n
         ends.append(end)
     pool = store(sized.where("group_n is null").select("row", "group").unionByName(ranked.where(~F.col("fits")).select("row", "group")), "pool")
-    filled = number(pool, [], ["group", "row"], "k", spread=["group"]).select("row", F.size(F.filter(
+    filled = number(pool, [], ["group", "row"], "k", spread=["group"], buckets=buckets_for(total)).select("row", F.size(F.filter(
         F.array(*(F.lit(e).cast("bigint") for e in ends)), lambda e: e <= F.col("k"))).alias("shard"))
     return rows.join(stay.unionByName(filled), "row")
 
@@ -133,6 +139,6 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         F.monotonically_increasing_id().alias("row"), present(docs, "doc_id", "bigint").alias("doc_id"),
         (F.octet_length(text) + 16).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.sha2(text, 256).alias("group")), "rows")
     placed = store(assign(rows, shards, rounds).select("row", "doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard")), "shards")
-    slots = number(placed, ["shard"], ["row"], "slot")
+    slots = number(placed, ["shard"], ["row"], "slot", buckets=buckets_for(placed.count()))
     return slots.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"),
                         F.lit(None).cast("int").alias("grown_shard"))

@@ -142,6 +142,14 @@ def test_shards_where_all_is_linked(llm):
     assert sum(where[k] != where[k + 1] for k in range(0, 200, 2)) <= 10
 
 
+def test_shards_in_more_buckets(llm, monkeypatch):
+    monkeypatch.setattr(shards, "BUCKETS", 2)
+    monkeypatch.setattr(shards, "BUCKET_ROWS", 10)
+    rows = [(k, f"text {k % 90}" if k < 200 else f"alone {k}") for k in range(301)]
+    check_shards(shards.shard_documents(llm.createDataFrame(rows, "doc_id long, text string"), 8), rows, 8)
+    assert [shards.buckets_for(n) for n in (0, 29, 301)] == [2, 2, 30]
+
+
 def test_shards_messy(messy):
     rows, plain, wide = messy
     check_shards(shards.shard_documents(wide), rows, 40)
