@@ -2,8 +2,9 @@
 
 Each block's own text earns points for its length and commas. They go to the block's parent,
 and in smaller parts to the ancestors above. A container's points are discounted by the share
-of its text that is link text. The best container is kept with those siblings that score well
-themselves or are plain paragraphs. Menus, adverts, comments and the like are left out while
+of its text that is link text. The best container is kept with all that stands beside it and
+beside its ancestors, except for blocks of links; where it is or stands in an article or main
+element, only with what stands beside that. Menus, adverts, comments and the like are left out while
 the page is read, by element, role, or words in class and id.
 """
 
@@ -47,10 +48,8 @@ ARTICLE_WORDS = {"article", "main", "content", "body", "column", "story", "with"
 ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form", "toolbar"}
 #: Weight of a container's points by element; 1 for all others.
 WEIGHTS = {"article": 3.0, "main": 2.0, "body": 0.3, "html": 0.1, "#root": 0.1}
-#: Ancestors that get points, and what a sibling needs in points and in share of the best.
+#: Ancestors that get points, and the share of link text from which a sibling is a block of links.
 LEVELS = 6
-SIBLING_POINTS = 10.0
-SIBLING_SHARE = 0.2
 LINK_LIMIT = 0.25
 
 _TOKEN = regex.compile(
@@ -205,15 +204,30 @@ class _Page:
                 best = node
                 break
             node = self.parents[node]
-        needed = max(SIBLING_POINTS, SIBLING_SHARE * score(best))
-        kept = []
-        for node in range(len(self.tags)) if best and self.tags[best] not in ("body", "html") else [best]:
-            if node == best:
-                kept.append(node)
-            elif self.parents[node] == self.parents[best] and size[self.end[node]] > size[self.begin[node]] and link_share(node) < LINK_LIMIT:
-                if score(node) >= needed or self.tags[node] in PARAGRAPHS:
-                    kept.append(node)
-        return " ".join(" ".join("".join(self.texts[self.begin[n] : self.end[n]]).split()) for n in kept).strip()
+        children: dict[int, list[int]] = {}
+        for node in range(1, len(self.tags)):
+            children.setdefault(self.parents[node], []).append(node)
+        pieces: dict[int, list[int]] = {}
+        for k, owner in enumerate(self.owner):
+            pieces.setdefault(owner, []).append(k)
+        whole, top, left_out = self.tags[best] in ("article", "main"), best, []
+        while top and self.tags[top] not in ("body", "html"):
+            inner, top = top, self.parents[top]
+            blocks = [n for n in children[top] if self.tags[n] not in INLINE]
+            left_out += [(self.begin[n], self.end[n]) for n in blocks if n != inner and link_share(n) >= LINK_LIMIT]
+            # text of the ancestor itself, between its blocks, is a sibling too
+            own_at = pieces.get(top, [])
+            n = sum(size[k + 1] - size[k] for k in own_at)
+            if n and sum(link_size[k + 1] - link_size[k] for k in own_at) / n >= LINK_LIMIT:
+                left_out += [(k, k + 1) for k in own_at]
+            if whole:
+                break
+        kept, at = [], self.begin[top]
+        for start, end in [*sorted(left_out), (self.end[top], self.end[top])]:
+            kept += self.texts[at:start]
+            kept.append(" ")
+            at = max(at, end)
+        return "".join(kept)
 
 
 def main_text(page: str | None) -> str:

@@ -26,6 +26,26 @@ def test_main_text(page, text):
     assert extract.main_text(page) == text
 
 
+PART = "<p>" + "word and word, " * 4 + "word " * 48 + "</p>"
+SHORT = "<p>" + "a few, " + "words " * 24 + "</p>"
+LINKS = "<div><a href=1>one link</a> <a href=2>another link</a></div>"
+
+DIVISIONS = [
+    (f"<body><div id=content><div class=section>{PART * 3}</div><div class=section>{SHORT * 2}</div></div></body>", PART * 3 + SHORT * 2),
+    (f"<body><div id=content>{PART.replace('p>', 'div>') * 2}{SHORT.replace('p>', 'div>')}<div>end</div></div></body>", PART * 2 + SHORT + " end"),
+    (f"<div><div><div>{PART * 3}</div>{LINKS}</div><div><div>{SHORT}</div></div></div>", PART * 3 + SHORT),
+    (f"<div>first words<div>{PART * 3}</div>last <b>words</b>{LINKS}</div>", "first words" + PART * 3 + " last words"),
+    (f"<div><a href=1>one</a> | <a href=2>two</a><div>{PART * 3}</div></div><div>{SHORT}</div>", PART * 3 + SHORT),
+    (f"<div><article>{PART * 3}</article><div>{SHORT}</div>{LINKS}</div><div>outside</div>", PART * 3 + SHORT),
+]
+
+
+@pytest.mark.parametrize("page, text", DIVISIONS, ids=range(len(DIVISIONS)))
+def test_divisions(page, text):
+    """What is no block of links stays, however short it is beside the best part."""
+    assert extract.main_text(page) == " ".join(text.replace("<p>", " ").replace("</p>", " ").split())
+
+
 def test_sample_pages(llm):
     """The sample pages have one template, which a plain pattern can cut."""
     import html
