@@ -61,13 +61,13 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANK + "+"), "")
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that a slice holds about ``SLICE_BYTES`` of text, or one longer row."""
+def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that a slice holds about ``limit`` bytes of text, or one longer row."""
     sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
         size = size or 0
-        if held and held + size > SLICE_BYTES:
+        if held and held + size > limit:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size + 1

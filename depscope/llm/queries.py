@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import bpe, counts, decontaminate, extract, lines, quality, quotes, shards, simhash, suffixes
+from . import alignment, bpe, counts, decontaminate, editprints, extract, lines, negatives, quality, quotes, shards, simhash, suffixes
 from .common import importable, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +194,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_suffix_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+A_FILE = "byte_bpe_50k.json"
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (alignment.load(public_tokenizers.path(f)) for f in (A_FILE, PIECE_FILE))
+    return alignment.align(table(spark, sf_dir, "documents"), a, b, public_tokenizers.PATTERN)[0]
+
+
+NEGATIVES_SQL = """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, embedding,
+             list_transform(embedding, lambda x: floor(256 * x::double)) as q, row_number() over () as r
+           from embeddings where label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (select a.r as ar, a.vec_id as anchor_id, b.r as br, b.vec_id as id, a.label = b.label as same, list_inner_product(a.q, b.q)::bigint as score
+          from e a join e b on a.vec_id % 100 = 0 and a.r <> b.r),
+positives as (select * from pairs where same qualify row_number() over (partition by ar order by score desc, id, br) <= 5)
+select p.anchor_id, p.id as positive_id, row_number() over (partition by p.ar, p.br order by n.score desc, n.id, n.br)::int as rank,
+       n.id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join pairs n on p.ar = n.ar and not n.same and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+qualify rank <= 10"""
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(table(spark, sf_dir, "embeddings"), turn_every=7)
+
+
+@query("op13_edit_fingerprints")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprints.edit_fingerprints(table(spark, sf_dir, "documents"))

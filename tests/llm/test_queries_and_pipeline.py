@@ -11,7 +11,7 @@ from conftest import SF
 from depscope.llm import bpe, lines, queries
 from depscope.session import store
 
-TABLES = ("documents", "benchmark", "conversations", "pages", "labels")
+TABLES = ("documents", "benchmark", "conversations", "pages", "labels", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -61,7 +61,7 @@ def test_sql_on_all_white_space(llm):
     same_rows(con, queries.LINES_SQL, found)
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+@pytest.mark.parametrize("number", range(1, 14))
 def test_one_query_for_each_operator(number):
     assert sum(n.startswith(f"op{number}_") for n in queries.llm_queries()) == 1
 
