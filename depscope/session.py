@@ -69,6 +69,18 @@ def drop_stored(spark: SparkSession) -> int:
     return len(paths)
 
 
+def discard(stored: DataFrame) -> None:
+    """Remove one table that ``store`` wrote, when its last reader is done."""
+    spark = stored.sparkSession
+    files = stored.inputFiles()
+    for path in _STORED.get(spark.sparkContext.applicationId, []):
+        folder = "/".join(path.split("/")[-2:])  # a number that no other table has, and the name
+        if files and f"/{folder}/" in files[0]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            return
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several later steps read, and go on from the written table.
 
