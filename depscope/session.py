@@ -70,7 +70,11 @@ def drop_stored(spark: SparkSession) -> int:
 
 
 def discard(stored: DataFrame) -> None:
-    """Remove one table that ``store`` wrote, when its last reader is done."""
+    """Remove one table that ``store`` wrote, when its last reader is done.
+
+    The shuffle files of the jobs before go as well: Spark drops those that nothing refers to
+    any more, but learns of it only when the driver collects garbage, which is asked for here.
+    """
     spark = stored.sparkSession
     files = stored.inputFiles()
     for path in _STORED.get(spark.sparkContext.applicationId, []):
@@ -78,7 +82,8 @@ def discard(stored: DataFrame) -> None:
         if files and f"/{folder}/" in files[0]:
             place = spark._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-            return
+            break
+    spark._jvm.System.gc()
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
