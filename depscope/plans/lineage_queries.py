@@ -62,12 +62,6 @@ def _dump_entities(i):
     return sources.entities(i.spark, i.catalog_dump(), pattern="*.txt", bad="skip")
 
 
-def _known_entities(i):
-    """The export without every third supplier, whose links then keep the payload's own names."""
-    number = F.substring("guid", 2, 18).cast("bigint")
-    return _dump_entities(i).filter(~F.col("guid").startswith("s") | (number % 3 != 0))
-
-
 def _dump_lineage(i):
     return sources.lineage_payloads(i.spark, i.catalog_dump(), pattern="*.txt", bad="skip")
 
@@ -168,10 +162,10 @@ def _(i):
 # --- joins ---
 
 @query("join_guid_to_name", LAST_NAMES + """select distinct l.payload_id, l.proc, l.role, l.guid, coalesce(n.q, l.guid) as name
-  from v_supply_links l left join names n on n.guid = l.guid""", "entities=known_entities", "supply_links")
+  from v_supply_links l left join names n on n.guid = l.guid""", "entities", "supply_links")
 def _(i):
     links = i.links("supply_links").drop("name")
-    named = lineage.with_names(links, lineage.name_map(i.entities("known_entities")))
+    named = lineage.with_names(links, lineage.name_map(i.entities()))
     return named.select("payload_id", "proc", "role", "guid", "name").distinct()
 
 
@@ -199,21 +193,21 @@ def _(i):
 
 @query("join_edges_to_nodes", PAIRS_SUPPLY + """select distinct from_id as src, to_id as dst, relation as rel
   from both_ways where from_id in (select guid from v_entities) and to_id in (select guid from v_entities)""",
-       "supply_links", "entities=known_entities")
+       "supply_links", "entities")
 def _(i):
-    return lineage.edges_by_guid(lineage.connected_links(i.links("supply_links"), i.entities("known_entities")))
+    return lineage.edges_by_guid(lineage.connected_links(i.links("supply_links"), i.entities()))
 
 
 # --- collapse and dedupe ---
 
-@query("lineage_collapse_triple", TRIPLES, "entities=known_entities")
+@query("lineage_collapse_triple", TRIPLES, "entities")
 def _(i):
-    return lineage.collapse(_dump_lineage(i), _known_entities(i)).drop("payload_id")
+    return lineage.collapse(_dump_lineage(i), _dump_entities(i)).drop("payload_id")
 
 
-@query("lineage_collapse_pair", SINGLES, "entities=known_entities")
+@query("lineage_collapse_pair", SINGLES, "entities")
 def _(i):
-    return lineage.collapse(_dump_lineage(i), _known_entities(i), dedupe="pair").drop("payload_id")
+    return lineage.collapse(_dump_lineage(i), _dump_entities(i), dedupe="pair").drop("payload_id")
 
 
 @query("dedup_lineage_pair", PAIRS_LINKS + """, r as (select *, row_number() over (partition by payload_id, from_id, to_id
@@ -260,15 +254,15 @@ def _(i):
     return back.groupBy(*back.columns).agg(F.count("*").alias("records"))
 
 
-def _twice_loaded(i, view="entities"):
-    """The stored graph after a load of all, and a second one of changed records."""
+def _twice_loaded(i):
+    """The stored graph after a load of most payloads, and a second one of the rest and of changed records."""
     path = i.scratch("graph")
-    nodes = lineage.vertices(i.entities(view))
-    edges = lineage.edges_by_guid(lineage.connected_links(i.links("supply_links"), nodes))
-    sinks.write_graph(nodes, edges, path)
+    nodes, links = lineage.vertices(i.entities()), i.links("supply_links")
+    late = F.col("payload_id") % 50 == 0
+    sinks.write_graph(nodes, lineage.edges_by_guid(lineage.connected_links(links.filter(~late), nodes)), path)
     changed = nodes.filter(F.col("guid").startswith("s")).withColumns(
         {"name": F.concat(F.lit("new "), "name"), "raw": F.concat(F.lit("new "), "raw")})
-    sinks.upsert_graph(F.broadcast(changed), edges, path)
+    sinks.upsert_graph(changed, lineage.edges_by_guid(links.filter(late)), path)
     return sinks.read_graph(i.spark, path)
 
 
@@ -281,6 +275,6 @@ def _(i):
 
 @query("sink_graph_edges", PAIRS_SUPPLY + """select distinct from_id as src, to_id as dst, relation as rel
   from both_ways where from_id in (select guid from v_entities) and to_id in (select guid from v_entities)""",
-       "supply_links", "entities=known_entities")
+       "supply_links", "entities")
 def _(i):
-    return _twice_loaded(i, "known_entities")[1]
+    return _twice_loaded(i)[1]

@@ -31,7 +31,7 @@ def query(name: str, sql: str | None = None, *views: str):
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import access_queries, audit_queries, lineage_queries, object_queries  # noqa: F401
+    from . import access_queries, audit_queries, combined_queries, lineage_queries, object_queries  # noqa: F401
     return dict(_QUERIES)
 
 

@@ -92,7 +92,7 @@ select distinct l_orderkey, concat('proc', cast(l_linenumber % 2 as @STR@)), l_l
 from @lineitem@
 """
 
-# The same, between suppliers and parts.
+# The same, between suppliers and parts; and customers, whom the catalog does not know.
 VIEWS["supply_links"] = """
 select l_orderkey as payload_id, concat('o', cast(l_orderkey as @STR@)) as proc,
   1 as proc_pos, 'in' as role, l_linenumber as rel_pos,
@@ -102,6 +102,10 @@ union all
 select l_orderkey, concat('o', cast(l_orderkey as @STR@)), 1, 'out', l_linenumber,
   concat('p', cast(l_partkey as @STR@)), 'hive_table'
 from @lineitem@
+union all
+select o_orderkey, concat('o', cast(o_orderkey as @STR@)), 1, 'in', 1000,
+  concat('c', cast(o_custkey as @STR@)), 'report'
+from @orders@ where o_orderstatus = 'P'
 """
 
 # Catalog records. Every fifth part comes a second time, later and under another name.
@@ -129,9 +133,6 @@ select concat('s', cast(s_suppkey as @STR@)), 'hdfs_path', concat('/lake/', s_na
 from @supplier@
 """
 
-# The same with names missing, for joins.
-VIEWS["known_entities"] = "select * from (" + VIEWS["entities"] + ") e where guid not like 's%' or cast(substr(guid, 2) as bigint) % 3 <> 0"
-
 # Application histories. Every tenth application comes twice.
 VIEWS["rm_apps"] = """
 select concat('application_', cast(o_orderkey as @STR@)) as id, concat('c', cast(o_custkey as @STR@)) as user,
@@ -207,6 +208,18 @@ select cast(o_custkey as @STR@) as project_id, cast(o_orderkey as @STR@) as id,
 from @orders@
 """
 
+# Who touched what: tables, folders below the listed ones and below table locations, and others.
+VIEWS["touched"] = """
+select case l_linenumber % 4 when 0 then 'hive_table' else 'hdfs_path' end as object_type,
+  case l_linenumber % 4 when 0 then concat(p_brand, '.t', cast(p_partkey as @STR@))
+    when 1 then concat('/warehouse/', p_brand, '/', p_type, '/deep/', cast(l_linenumber as @STR@), '/')
+    when 2 then concat('hdfs://nn//w,h/', p_type, '/', cast(l_suppkey % 5 as @STR@))
+    else concat('/other/', p_brand, '/') end as object_id,
+  concat('u', cast(l_suppkey % 7 as @STR@)) as usr, l_returnflag as op, count(*) as cnt
+from @lineitem@ join @part@ on l_partkey = p_partkey
+group by 1, 2, 3, 4
+"""
+
 # Tables of a warehouse: databases by brand, description lines per table.
 VIEWS["hive_tables"] = """
 select p_brand as db, concat('t', cast(p_partkey as @STR@)) as tbl, p_partkey as pos,

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..model import (
     ACCESS_COLUMNS, EVENT_COLUMNS, LINEAGE_COLUMNS, OBJECT_COLUMNS, SUMMARY_COLUMNS, SUMMARY_KEYS,
 )
 from ..operators import lineage
+from ..session import store
 
 # Minimal quoting with doubled quotes, and values kept as they are.
 CSV_OPTIONS = {
@@ -95,18 +100,9 @@ def write_guids_by_type(guids: DataFrame, path: str, type_column: str = "typeNam
         f"{path.rstrip('/')}/guids_by_type")
 
 
-def upsert_vertices(known: DataFrame | None, new: DataFrame) -> DataFrame:
-    """Nodes after a load: a new record replaces the known one of its guid."""
-    if known is None:
-        return new
-    kept = known.join(new.select("guid"), "guid", "left_anti")
-    return kept.unionByName(new)
-
-
-def upsert_edges(known: DataFrame | None, new: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges after a load: known ones, and new ones whose both ends exist; no doubles."""
-    linked = lineage.connected_edges(new, nodes)
-    return linked if known is None else known.unionByName(linked).distinct()
+#: Buckets of a new graph's tables, unless named; a bucket should fit a few tasks.
+GRAPH_BUCKETS = 64
+_VERTEX_KEY, _EDGE_KEY = ["guid"], ["src"]
 
 
 def _path(spark: SparkSession, path: str):
@@ -114,54 +110,160 @@ def _path(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _restore(spark: SparkSession, target: str) -> None:
-    """Undo a replacement that broke off between its two renames."""
-    (now, fs), (before, _) = _path(spark, target), _path(spark, f"{target}_previous")
-    if not fs.exists(now) and fs.exists(before):
-        fs.rename(before, now)
+def _bucket(key: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
-def _replace(spark: SparkSession, new: str, target: str) -> None:
-    """Put a finished folder in the place of another; that one goes last."""
-    (made, fs), (now, _), (before, _) = (_path(spark, p) for p in (new, target, f"{target}_previous"))
-    fs.delete(before, True)
-    if fs.exists(now) and not fs.rename(now, before):
-        raise OSError(f"cannot move {target} aside")
-    if not fs.rename(made, now):
-        fs.rename(before, now)
-        raise OSError(f"cannot put {new} in the place of {target}")
-    fs.delete(before, True)
-    spark.catalog.refreshByPath(target)
+def upsert_vertices(known: DataFrame, new: DataFrame) -> DataFrame:
+    """Nodes after a load: a new record replaces the known one of its guid."""
+    return known.join(new.select("guid"), "guid", "left_anti").unionByName(new)
 
 
-def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    """Graph tables ``vertices`` and ``edges`` (edges in one folder per relation).
+class _Manifest:
+    """Which folder holds each bucket of the stored graph.
 
-    Both are written beside the stored ones, which ``nodes`` and ``edges`` may still read,
-    and take their place once they are complete.
+    A manifest is one small JSON file per load, numbered; the highest number is the graph. Bucket
+    folders are never changed once a manifest names them. A load writes new folders for the
+    buckets that it touches and then its manifest, by one rename: readers see all of a load or
+    nothing, and a load that breaks off leaves folders that no manifest names.
     """
-    spark, path = nodes.sparkSession, path.rstrip("/")
-    nodes.write.mode("overwrite").parquet(f"{path}/_next/vertices")
-    edges.write.mode("overwrite").partitionBy("rel").parquet(f"{path}/_next/edges")
-    for name in ("vertices", "edges"):
-        _replace(spark, f"{path}/_next/{name}", f"{path}/{name}")
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        place, self.fs = _path(spark, f"{self.path}/manifests")
+        names = [f.getPath().getName() for f in self.fs.listStatus(place)] if self.fs.exists(place) else []
+        self.number = max((int(n.split(".")[0]) for n in names if n.endswith(".json")), default=0)
+        self.content = {"buckets": 0, "vertices": {}, "edges": {}}
+        if self.number:
+            text = spark.read.text(f"{self.path}/manifests/{self.number:012d}.json", wholetext=True).first().value
+            self.content = json.loads(text)
+
+    def folders(self, table: str, buckets: list[int] | None = None) -> list[str]:
+        held = self.content[table]
+        return [f"{self.path}/{held[str(b)]}" for b in (held if buckets is None else buckets) if str(b) in held]
+
+    def commit(self, content: dict) -> None:
+        number = self.number + 1
+        made, fs = _path(self.spark, f"{self.path}/manifests/_{number}.{uuid.uuid4().hex}")
+        out = fs.create(made, True)
+        out.write(bytearray(json.dumps(content).encode()))
+        out.close()
+        target, _ = _path(self.spark, f"{self.path}/manifests/{number:012d}.json")
+        if fs.exists(target) or not fs.rename(made, target):
+            fs.delete(made, False)
+            raise OSError(f"another load has written manifest {number} of {self.path}")
+        self.number, self.content = number, content
+
+
+_EDGE_SCHEMA = "src string, dst string, rel string"
+
+
+def _stored(spark: SparkSession, folders: list[str], schema) -> DataFrame | None:
+    return spark.read.schema(schema).parquet(*folders) if folders else None
+
+
+def _write_buckets(df: DataFrame, key: list[str], buckets: int, path: str, load: str, table: str) -> dict[str, str]:
+    """Write a table's rows in one folder per bucket; returns the folders by bucket."""
+    name = f"{table}/load_{load}"
+    df.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{path}/{name}")
+    place, fs = _path(df.sparkSession, f"{path}/{name}")
+    written = [f.getPath().getName() for f in fs.listStatus(place) if f.isDirectory()]
+    return {n.split("=")[1]: f"{name}/{n}" for n in written if n.startswith("bucket=")}
+
+
+def write_graph(nodes: DataFrame, edges: DataFrame, path: str, buckets: int = GRAPH_BUCKETS) -> None:
+    """A new graph of these tables in the place of the stored one: vertices by bucket of their
+    guid, edges by bucket of their source. Tables may be read from the graph they replace."""
+    manifest, load = _Manifest(nodes.sparkSession, path), uuid.uuid4().hex
+    manifest.commit({
+        "buckets": buckets, "vertex_schema": nodes.schema.json(),
+        "vertices": _write_buckets(nodes, _VERTEX_KEY, buckets, manifest.path, load, "vertices"),
+        "edges": _write_buckets(edges.select("src", "dst", "rel"), _EDGE_KEY, buckets, manifest.path, load, "edges")})
 
 
 def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
-    """The stored graph's vertices and edges; None where there is none."""
-    path = path.rstrip("/")
-    for name in ("vertices", "edges"):
-        _restore(spark, f"{path}/{name}")
-    place, fs = _path(spark, f"{path}/vertices")
-    if not fs.exists(place):
+    """The stored graph's vertices and edges, both of one load; None where there is none."""
+    manifest = _Manifest(spark, path)
+    if not manifest.number:
         return None
-    edges = spark.read.schema("src string, dst string, rel string").parquet(f"{path}/edges")
-    return spark.read.parquet(f"{path}/vertices"), edges
+    schema = StructType.fromJson(json.loads(manifest.content["vertex_schema"]))
+    empty = [spark.createDataFrame([], s) for s in (schema, _EDGE_SCHEMA)]
+    found = [_stored(spark, manifest.folders(t), s) for t, s in (("vertices", schema), ("edges", _EDGE_SCHEMA))]
+    return tuple(e if f is None else f for e, f in zip(empty, found, strict=True))
 
 
-def upsert_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    """Load nodes and edges into the stored graph: new records replace those of their guid."""
-    known = read_graph(nodes.sparkSession, path)
-    known_nodes, known_edges = known or (None, None)
-    merged = upsert_vertices(known_nodes, nodes)
-    write_graph(merged, upsert_edges(known_edges, edges, merged), path)
+def _touched(df: DataFrame, key: list[str], buckets: int) -> list[int]:
+    """Buckets that have rows: as many numbers as there are buckets, at most."""
+    return sorted(r.b for r in df.select(_bucket(key, buckets).alias("b")).distinct().collect())
+
+
+def upsert_graph(nodes: DataFrame, edges: DataFrame, path: str, buckets: int = GRAPH_BUCKETS) -> None:
+    """Load nodes and edges into the stored graph.
+
+    New records replace those of their guid. Of the edges, those are added that the graph lacks
+    and whose both ends are nodes, known or new. Only buckets that the load touches are read,
+    merged and written; the others stay where they are. A load that changes nothing writes
+    nothing. Give one record a guid; the load is stored first, as it is read several times.
+    """
+    spark, load = nodes.sparkSession, uuid.uuid4().hex
+    manifest = _Manifest(spark, path)
+    nodes, edges = store(nodes, "new_nodes"), store(edges.select("src", "dst", "rel").distinct(), "new_edges")
+    if not manifest.number:
+        write_graph(nodes, lineage.connected_edges(edges, nodes), path, buckets)
+        return
+    content, n = dict(manifest.content), manifest.content["buckets"]
+    schema = StructType.fromJson(json.loads(content["vertex_schema"]))
+    if sorted(nodes.columns) != sorted(schema.names):
+        raise ValueError(f"the graph has columns {schema.names}")
+    nodes = nodes.select(*schema.names)
+
+    known = _stored(spark, manifest.folders("vertices", _touched(nodes, _VERTEX_KEY, n)), schema)
+    changed = nodes if known is None else nodes.join(
+        known, [nodes[c].eqNullSafe(known[c]) for c in schema.names], "left_anti")
+    changed = store(changed, "changed_nodes")
+    content["vertices"] = dict(content["vertices"])
+    parts = _touched(changed, _VERTEX_KEY, n)
+    if parts:
+        known = _stored(spark, manifest.folders("vertices", parts), schema)
+        merged = changed if known is None else upsert_vertices(known, changed)
+        content["vertices"] |= _write_buckets(merged, _VERTEX_KEY, n, manifest.path, load, "vertices")
+
+    known = _stored(spark, manifest.folders("edges", _touched(edges, _EDGE_KEY, n)), _EDGE_SCHEMA)
+    added = edges if known is None else edges.join(known, ["src", "dst", "rel"], "left_anti")
+    added = store(added, "added_edges")
+    # ends are looked up where they can be: in the buckets of the load's edges, guids only
+    ends = added.select(F.explode(F.array("src", "dst")).alias("guid"))
+    at = _stored(spark, [f"{manifest.path}/{content['vertices'][str(b)]}" for b in _touched(ends, _VERTEX_KEY, n) if str(b) in content["vertices"]], schema)
+    added = store(lineage.connected_edges(added, at), "linked_edges") if at is not None else added.limit(0)
+    content["edges"] = dict(content["edges"])
+    parts = _touched(added, _EDGE_KEY, n)
+    if parts:
+        known = _stored(spark, manifest.folders("edges", parts), _EDGE_SCHEMA)
+        merged = added if known is None else known.unionByName(added)
+        content["edges"] |= _write_buckets(merged, _EDGE_KEY, n, manifest.path, load, "edges")
+    if content != manifest.content:
+        manifest.commit(content)
+
+
+def vacuum_graph(spark: SparkSession, path: str) -> int:
+    """Remove folders and manifests that the stored graph no longer needs; returns how many.
+
+    Readers of an earlier load must have ended, and no load may be running.
+    """
+    manifest = _Manifest(spark, path)
+    needed = {f for t in ("vertices", "edges") for f in manifest.folders(t)}
+    gone = 0
+    for table in ("vertices", "edges"):
+        top, fs = _path(spark, f"{manifest.path}/{table}")
+        for load in fs.listStatus(top) if fs.exists(top) else []:
+            parts = [p.getPath() for p in fs.listStatus(load.getPath()) if p.isDirectory()]
+            kept = [p for p in parts if f"{manifest.path}/{table}/{load.getPath().getName()}/{p.getName()}" in needed]
+            for part in [load.getPath()] if not kept else [p for p in parts if p not in kept]:
+                fs.delete(part, True)
+                gone += 1
+    top, fs = _path(spark, f"{manifest.path}/manifests")
+    for file in fs.listStatus(top) if fs.exists(top) else []:
+        if file.getPath().getName() != f"{manifest.number:012d}.json":
+            fs.delete(file.getPath(), False)
+            gone += 1
+    return gone

@@ -219,24 +219,91 @@ def test_graph(spark, dump, tmp_path):
                     want |= {(s, d, "WRITES_TO"), (d, s, "READS_FROM")}
     edges = lineage.graph(sources.lineage_payloads(spark, path), nodes)
     assert sorted(map(tuple, edges.collect())) == sorted(want)
-    merged = sinks.upsert_edges(edges, edges, nodes)
-    assert merged.count() == len(want)
     loaded = sinks.upsert_vertices(nodes, nodes.withColumn("name", F.lit("new")))
     assert {r.name for r in loaded.collect()} == {"new"}
     where = str(tmp_path / "g")
     assert sinks.read_graph(spark, where) is None
     sinks.write_graph(nodes, edges, where)
-    assert spark.read.parquet(f"{where}/edges").count() == len(want)
-    # changed records, loaded into the graph that is read meanwhile, by a broadcast join
-    changed = nodes.limit(2).withColumn("name", F.lit("changed"))
+    assert sinks.read_graph(spark, where)[1].count() == len(want)
+    # changed records, loaded into the graph that is read meanwhile
+    before = sinks.read_graph(spark, where)
+    changed = before[0].limit(2).withColumn("name", F.lit("changed"))
     for _ in range(2):
-        sinks.upsert_graph(F.broadcast(changed), edges, where)
+        sinks.upsert_graph(changed, edges, where)
     stored, linked = sinks.read_graph(spark, where)
     assert sorted(r.guid for r in stored.collect()) == sorted(by_guid) and linked.count() == len(want)
     assert stored.filter("name = 'changed'").count() == 2
-    # broken off between the renames: the old graph is found again
-    (tmp_path / "g" / "vertices").rename(tmp_path / "g" / "vertices_previous")
-    assert sinks.read_graph(spark, where)[0].count() == 3
+    assert before[0].filter("name = 'changed'").count() == 0  # readers of the earlier load go on
+
+
+def _files(path):
+    return {p: p.stat().st_size for p in path.rglob("*.parquet")}
+
+
+@pytest.fixture
+def graph(spark, tmp_path):
+    """A graph of 20,000 vertices in 40 buckets, and its edges."""
+    nodes = spark.range(20_000).select(F.concat(F.lit("g"), "id").alias("guid"), F.lit("t").alias("typeName"), F.lit("first").alias("name"))
+    edges = spark.range(20_000).select(F.concat(F.lit("g"), "id").alias("src"), F.concat(F.lit("g"), (F.col("id") * 7) % 20_000).alias("dst"), F.lit("R").alias("rel"))
+    sinks.write_graph(nodes, edges, str(tmp_path / "g"), buckets=40)
+    return nodes, edges, tmp_path / "g"
+
+
+def test_load_writes_touched_buckets_only(spark, graph):
+    nodes, edges, path = graph
+    first = _files(path)
+    few = nodes.limit(2).withColumn("name", F.lit("changed"))
+    new = spark.createDataFrame([("g1", "g2", "NEW"), ("g1", "nobody", "NEW"), ("x", "g1", "NEW"), ("g3", "g21", "R")], "src string, dst string, rel string")
+    sinks.upsert_graph(few, new, str(path))
+    second = _files(path)
+    added = {p: n for p, n in second.items() if p not in first}
+    assert {p: second[p] for p in first} == first and 0 < sum(added.values()) < 0.15 * sum(first.values())
+    stored, linked = sinks.read_graph(spark, str(path))
+    assert stored.count() == 20_000 and stored.filter("name = 'changed'").count() == 2
+    assert linked.count() == 20_001 and [tuple(r) for r in linked.filter("rel = 'NEW'").collect()] == [("g1", "g2", "NEW")]
+    # the same load again changes nothing and writes nothing
+    sinks.upsert_graph(few, new, str(path))
+    assert _files(path) == second and len(list(path.glob("manifests/0*.json"))) == 2
+    assert sinks.vacuum_graph(spark, str(path)) > 0
+    stored, linked = sinks.read_graph(spark, str(path))
+    assert stored.count() == 20_000 and linked.count() == 20_001
+    assert sum(_files(path).values()) < 1.2 * sum(first.values())
+
+
+def test_new_nodes_and_edges_between_them(spark, graph):
+    _, _, path = graph
+    new = spark.createDataFrame([("n1", "t", None), ("n2", None, "b")], "guid string, typeName string, name string")
+    edges = spark.createDataFrame([("n1", "n2", "R"), ("n2", "g5", "R"), ("n2", "n2", "R")] * 2, "src string, dst string, rel string")
+    for _ in range(2):
+        sinks.upsert_graph(new, edges, str(path))
+    stored, linked = sinks.read_graph(spark, str(path))
+    assert stored.count() == 20_002 and linked.filter("src like 'n%'").count() == 3 and linked.count() == 20_003
+    sinks.upsert_graph(new.limit(0), edges.limit(0), str(path))
+    assert len(list(path.glob("manifests/0*.json"))) == 2
+    empty = str(path) + "_empty"
+    sinks.upsert_graph(new.limit(0), edges.limit(0), empty)
+    assert [t.count() for t in sinks.read_graph(spark, empty)] == [0, 0]
+    sinks.upsert_graph(new, edges, empty)
+    assert [t.count() for t in sinks.read_graph(spark, empty)] == [2, 2]
+
+
+def test_broken_load_leaves_the_graph(spark, graph, monkeypatch):
+    nodes, edges, path = graph
+
+    def fail(*_):
+        raise OSError("lost")
+    monkeypatch.setattr(sinks._Manifest, "commit", fail)
+    with pytest.raises(OSError):
+        sinks.upsert_graph(nodes.limit(50).withColumn("name", F.lit("changed")), edges.limit(0), str(path))
+    monkeypatch.undo()
+    stored, linked = sinks.read_graph(spark, str(path))
+    assert stored.filter("name = 'changed'").count() == 0 and stored.count() == 20_000 and linked.count() == 20_000
+    # of two loads that start from one state the second fails
+    late = sinks._Manifest(spark, str(path))
+    sinks.upsert_graph(nodes.limit(5).withColumn("name", F.lit("changed")), edges.limit(0), str(path))
+    with pytest.raises(OSError):
+        late.commit(late.content)
+    assert sinks.read_graph(spark, str(path))[0].filter("name = 'changed'").count() == 5
 
 
 def test_no_lineage_folder(spark, tmp_path):
