@@ -30,8 +30,8 @@ from .components import components
 #: Walks, and bytes of a fingerprint sampled from each.
 WALKS = 2
 BYTES = 64
-#: Bytes of a band. A likeness of 0.8 shares one of the 32 bands with probability 1 - 2^-16.
-BAND = 4
+#: Bytes of a band. A likeness of 0.8 shares one of the 25 bands with probability 0.99995.
+BAND = 5
 #: Links: so many hundredths of the bytes are equal.
 NEAR_PERCENT = 80
 #: The coins repeat after so many steps; characters share coins by classes.
@@ -41,6 +41,8 @@ CLASSES = 64
 HORIZON_BITS = 40
 #: Fingerprints of a band that a task compares at once; larger groups are split into sets.
 GROUP_LIMIT = 4_000
+#: So many texts at least walk side by side.
+TOGETHER = 24
 SEED = 0x5EED
 
 
@@ -57,8 +59,9 @@ def _coins() -> list[list[bytes]]:
     return found
 
 
-def _firsts() -> list[list[np.ndarray]]:
-    """For each walk and byte: the times that are the first in order among all times up to them.
+def _firsts() -> list[np.ndarray]:
+    """For each walk, a row for each byte: the times that are the first in order among all times
+    up to them; rows are filled up with the horizon.
 
     The first of a random order among the times below n is the last such time below n. There are
     about ln n of them: behind a time of rank m (0 to 1), a time is smaller with probability m.
@@ -72,15 +75,16 @@ def _firsts() -> list[list[np.ndarray]]:
             while (at := times[-1] + int(rng.geometric(rank))) < 1 << HORIZON_BITS:
                 times.append(at)
                 rank *= rng.random()
-            own.append(np.array(times, np.int64))
-        found.append(own)
+            own.append(times)
+        most = max(map(len, own))
+        found.append(np.array([t + [1 << HORIZON_BITS] * (most - len(t)) for t in own], np.int64))
     return found
 
 
 _TABLES: list = []
 
 
-def _tables() -> tuple[list[list[bytes]], list[list[np.ndarray]]]:
+def _tables() -> tuple[list[list[bytes]], list[np.ndarray]]:
     if not _TABLES:
         _TABLES.append((_coins(), _firsts()))
     return _TABLES[0]
@@ -90,38 +94,78 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-class Walk:
-    """The walks over a text: when each character is reached. A text that begins alike goes on from a copy."""
-
-    def __init__(self, codes: np.ndarray, start: "Walk | None" = None, shared: int = 0) -> None:
-        coins, last = _tables()[0], PERIOD - 1
-        self.codes = codes
-        classes = ((codes[shared:].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58)).astype(np.uint8).tobytes()
-        self.reached: list[np.ndarray] = []  # the time at which character i is left, per walk
-        for walk in range(WALKS):
-            steps, t = coins[walk], int(start.reached[walk][shared - 1]) if shared else 0
-            left = [t := t + steps[c][t & last] for c in classes]
-            ends = np.array(left, np.int64)
-            self.reached.append(np.concatenate([start.reached[walk][:shared], ends]) if shared else ends)
-
-    def fingerprint(self) -> bytes:
-        """``WALKS * BYTES`` bytes; zeros for an empty text."""
-        if not len(self.codes):
-            return bytes(WALKS * BYTES)
-        _, firsts = _tables()
-        out = np.zeros(WALKS * BYTES, np.uint8)
-        for walk, ends in enumerate(self.reached):
-            n = int(ends[-1])
-            times = np.array([t[np.searchsorted(t, n) - 1] for t in firsts[walk]])
-            read = self.codes[np.searchsorted(ends, times, side="right")].astype(np.uint64)
-            # one byte for the time and the character, never zero
-            mixed = (times.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) ^ read * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
-            out[walk * BYTES : (walk + 1) * BYTES] = (mixed >> np.uint64(32)) % np.uint64(255) + 1
-        return out.tobytes()
+def _left_at(codes: list[np.ndarray], starts: list[np.ndarray]) -> list[np.ndarray]:
+    """For each text, walks x characters: the time at which a walk leaves each character.
+
+    ``starts`` has the times at which the walks reach the first one. Texts walk side by side, the
+    longest first; where few are left, each goes on alone.
+    """
+    coins, last = _tables()[0], PERIOD - 1
+    order = np.argsort([-len(c) for c in codes], kind="stable")
+    size = np.array([len(codes[k]) for k in order], np.int64)
+    joint = int(size[TOGETHER - 1]) if len(size) >= TOGETHER else 0  # characters that so many texts have
+    own = np.minimum(size, joint)
+    active = np.searchsorted(-own, -np.arange(joint), side="left")  # texts longer than i
+    offset = np.concatenate([[0], np.cumsum(active)])
+    place = [offset[:n] + k for k, n in enumerate(own.tolist())]  # of each text's characters, laid out by step
+    classes = [((codes[k].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58)).astype(np.uint8) for k in order]
+    laid = np.zeros(offset[-1], np.uint8)
+    for at, c in zip(place, classes, strict=True):
+        laid[at] = c[: len(at)]
+    laid = laid.astype(np.int64) * PERIOD
+    found: list[np.ndarray] = [None] * len(codes)
+    # both walks in one table, one behind the other
+    steps = np.frombuffer(b"".join(row for rows in coins for row in rows), np.uint8)
+    table = (np.arange(WALKS) * (CLASSES * PERIOD))[:, None]
+    times = np.zeros((WALKS, offset[-1]), np.int64)
+    t = np.array([starts[k] for k in order], np.int64).reshape(-1, WALKS).T
+    edges = offset.tolist()
+    for a, b in zip(edges, edges[1:], strict=False):
+        t = t[:, : b - a]
+        t = t + steps.take((t & last) + table + laid[a:b])
+        times[:, a:b] = t
+    for k, at, c in zip(order.tolist(), place, classes, strict=True):
+        left = times[:, at]
+        rest = c[len(at) :].tobytes()
+        if rest:
+            more = []
+            for walk, rows in enumerate(coins):
+                t = int(left[walk, -1]) if len(at) else int(starts[k][walk])
+                more.append([t := t + rows[x][t & last] for x in rest])
+            left = np.concatenate([left, np.array(more, np.int64)], axis=1)
+        found[k] = left
+    return found
+
+
+def _sampled(codes: np.ndarray, left: np.ndarray) -> bytes:
+    """``WALKS * BYTES`` bytes of a walked text; zeros for an empty one."""
+    if not len(codes):
+        return bytes(WALKS * BYTES)
+    out = []
+    for ends, firsts in zip(left, _tables()[1], strict=True):
+        times = firsts[np.arange(BYTES), (firsts < ends[-1]).sum(axis=1) - 1]
+        read = codes[np.searchsorted(ends, times, side="right")].astype(np.uint64)
+        # one byte for the time and the character, never zero
+        mixed = (times.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) ^ read * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
+        out.append(((mixed >> np.uint64(32)) % np.uint64(255) + 1).astype(np.uint8))
+    return np.concatenate(out).tobytes()
+
+
+class Walked:
+    """A text with its walks and its fingerprint."""
+
+    def __init__(self, text: str, codes: np.ndarray, left: np.ndarray) -> None:
+        self.text, self.codes, self.left, self.print = text, codes, left, _sampled(codes, left)
+
+
+def walked(texts: list[str]) -> list[Walked]:
+    codes = [_codes(t) for t in texts]
+    left = _left_at(codes, [np.zeros(WALKS, np.int64)] * len(texts))
+    return [Walked(*x) for x in zip(texts, codes, left, strict=True)]
 
 
 def fingerprint(text: str | None) -> bytes:
-    return Walk(_codes(text or "")).fingerprint()
+    return walked([text or ""])[0].print
 
 
 def likeness(a: bytes, b: bytes) -> float:
@@ -129,10 +173,18 @@ def likeness(a: bytes, b: bytes) -> float:
     return float(np.mean(np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)))
 
 
-def edited(text: str, following: str) -> tuple[str, int]:
-    """The text with its last third replaced by as much of the beginning of another; also what both share."""
-    cut = len(text) // 3
-    return text[: len(text) - cut] + following[:cut], len(text) - cut
+def edited(rows: list[Walked], following: list[Walked]) -> list[Walked]:
+    """Each text with its last third replaced by as much of the beginning of the one that follows.
+
+    The walks over the part that stays are those of the text itself.
+    """
+    cut = [len(r.codes) // 3 for r in rows]
+    stays = [len(r.codes) - n for r, n in zip(rows, cut, strict=True)]
+    tails = [f.codes[:n] for f, n in zip(following, cut, strict=True)]
+    starts = [r.left[:, n - 1] if n else np.zeros(WALKS, np.int64) for r, n in zip(rows, stays, strict=True)]
+    more = _left_at(tails, starts)
+    return [Walked(r.text[:n] + f.text[:c], np.concatenate([r.codes[:n], tail]), np.concatenate([r.left[:, :n], left], axis=1))
+            for r, f, n, c, tail, left in zip(rows, following, stays, cut, tails, more, strict=True)]
 
 
 _ROW = pa.schema([("place", pa.string()), ("part", pa.int32()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("n_chars", pa.int64()),
@@ -142,11 +194,11 @@ _ROW_SQL = ("place string, part int, doc_id bigint, tie bigint, n_chars bigint,
             "edited_fingerprint binary, near_edited double, near_next double, text string")
 
 
-def _finished(text: str, own: Walk, following: str, next_print: bytes) -> dict:
-    changed, shared = edited(text, following)
-    own_print, edited_print = own.fingerprint(), Walk(_codes(changed), own, shared).fingerprint()
-    return {"n_chars": len(text), "edited_sha256": hashlib.sha256(changed.encode()).hexdigest(), "fingerprint": own_print,
-            "edited_fingerprint": edited_print, "near_edited": likeness(own_print, edited_print), "near_next": likeness(own_print, next_print)}
+def _finished(keys: list[dict], rows: list[Walked], following: list[Walked]) -> Iterator[dict]:
+    for key, own, behind, changed in zip(keys, rows, following, edited(rows, following), strict=True):
+        yield {**key, "place": "row", "text": None, "n_chars": len(own.codes), "edited_sha256": hashlib.sha256(changed.text.encode()).hexdigest(),
+               "fingerprint": own.print, "edited_fingerprint": changed.print,
+               "near_edited": likeness(own.print, changed.print), "near_next": likeness(own.print, behind.print)}
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
@@ -154,28 +206,26 @@ def _in_order(docs: DataFrame) -> DataFrame:
     the same range; the first row of each range ('head') and its last ('tail') bring their text.
 
     The ranges are by descending id, then by a hash of the text; rows that agree in both are alike
-    and may fall into several ranges. Rows stream through; one is held.
+    and may fall into several ranges. Rows stream through, a slice at a time.
     """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("salt"), "text")
     order = [F.col("doc_id").desc_nulls_last(), F.col("tie"), F.col("salt")]
     ranges = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("part"), "doc_id", "tie", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple | None = None  # the row whose successor is still to come
+        keys: list[dict] = []  # the last row, whose successor is still to come, and then those of a slice
+        held: list[Walked] = []
         for batch in batches:
             for part in text_slices(batch):
                 out = []
-                for row in part.to_pylist():
-                    walk = Walk(_codes(row["text"]))
-                    if held is None:
-                        out.append({**row, "place": "head"})
-                    else:
-                        before, before_walk = held
-                        out.append({**before, **_finished(before["text"], before_walk, row["text"], walk.fingerprint()), "place": "row", "text": None})
-                    held = row, walk
-                yield pa.RecordBatch.from_pylist(out, schema=_ROW)
-        if held is not None:
-            yield pa.RecordBatch.from_pylist([{**held[0], "place": "tail"}], schema=_ROW)
+                if not held and part.num_rows:
+                    out.append({**part.slice(0, 1).to_pylist()[0], "place": "head"})
+                keys += part.to_pylist()
+                held += walked(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_pylist([*out, *_finished(keys[:-1], held[:-1], held[1:])], schema=_ROW)
+                keys, held = keys[-1:], held[-1:]
+        if held:
+            yield pa.RecordBatch.from_pylist([{**keys[0], "place": "tail"}], schema=_ROW)
 
     return ranges.mapInArrow(run, _ROW_SQL)
 
@@ -197,8 +247,9 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [{"doc_id": r["doc_id"], **_finished(r["text"], Walk(_codes(r["text"])), r["following"], fingerprint(r["following"])), "place": "row"} for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_pylist(out, schema=_ROW)
+            for part in text_slices(batch):
+                out = _finished([{"doc_id": d} for d in part.column("doc_id").to_pylist()], walked(part.column("text").to_pylist()), walked(part.column("following").to_pylist()))
+                yield pa.RecordBatch.from_pylist(list(out), schema=_ROW)
 
     columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     return stored.where("place = 'row'").select(columns).unionByName(met.mapInArrow(run, _ROW_SQL).select(columns))
@@ -236,13 +287,17 @@ def links(prints: DataFrame, group_limit: int = GROUP_LIMIT) -> DataFrame:
     """u, v: links between rows of ``prints`` (node bigint, fingerprint; distinct), enough of
     them to connect all that share a band and are near. Stored input.
 
-    Bands are counted first. A band with more fingerprints than the limit is dealt to sets, and
-    each two sets are compared by a task of their own.
+    Bands are counted first. Of bands with the same members one is compared. A band with more
+    fingerprints than the limit is dealt to sets, and each two sets are compared by a task of
+    their own.
     """
     n_bands = WALKS * BYTES // BAND
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda k: F.xxhash64(k, F.substring("fingerprint", k * BAND + 1, F.lit(BAND)))))
     members = prints.select("node", band.alias("band"))
-    sizes = store(members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "bands")
+    # members as sums of two hashes, whatever their order
+    sums = [F.sum(F.xxhash64("node", F.lit(salt)).cast("decimal(20,0)")).alias(f"sum_{salt}") for salt in (1, 2)]
+    sizes = members.groupBy("band").agg(F.count("*").alias("n"), *sums).where("n > 1")
+    sizes = store(sizes.groupBy("n", "sum_1", "sum_2").agg(F.min("band").alias("band")).select("band", "n"), "bands")
     n_sets = F.ceil(F.col("n") / group_limit).cast("int")
     own = members.join(sizes, "band").withColumn("sets", n_sets).withColumn("own", F.pmod(F.xxhash64("node"), F.col("sets")).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sets") - 1))).select(

@@ -83,11 +83,18 @@ def test_likeness_follows_edits(n):
     assert editprints.likeness(own, editprints.fingerprint(other)) < 0.25
 
 
-def test_shared_beginning_goes_on():
-    a, b = "abc def ghi " * 40, "abc def ghi " * 20 + "quite another end" * 9
-    walk = editprints.Walk(editprints._codes(a))
-    for shared in (0, 1, 200, 240):
-        assert editprints.Walk(editprints._codes(b), walk, shared).fingerprint() == editprints.fingerprint(b)
+def test_texts_walk_alike_alone_and_together(monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdé 中😀") for _ in range(rng.randrange(0, 5000) if k % 9 else k)) for k in range(90)]
+    alone = [editprints.fingerprint(t) for t in texts]
+    for together in (1, 7, 64, 500):
+        monkeypatch.setattr(editprints, "TOGETHER", together)
+        rows = editprints.walked(texts)
+        assert [r.print for r in rows] == alone
+        after = rows[1:] + rows[:1]
+        changed = editprints.edited(rows, after)
+        assert [c.text for c in changed] == [t[:len(t) - len(t) // 3] + f.text[:len(t) // 3] for t, f in zip(texts, after)]
+        assert [c.print for c in changed] == [editprints.fingerprint(c.text) for c in changed]
 
 
 def near_classes(rows):
@@ -102,7 +109,7 @@ def near_classes(rows):
     for d in prints:
         for e in prints:
             a, b = prints[d], prints[e]
-            banded = any(a[k:k + width] == b[k:k + width] for k in range(0, len(a), width))
+            banded = any(a[k:k + width] == b[k:k + width] for k in range(0, len(a) - width + 1, width))
             if banded and editprints.likeness(a, b) * 100 >= editprints.NEAR_PERCENT:
                 x, y = root(d), root(e)
                 parent[max(x, y)] = min(x, y)
