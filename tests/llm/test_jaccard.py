@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 import brute
 import corpus_pipeline
 from conftest import SF
@@ -65,6 +67,39 @@ def test_order_and_broadcasts_change_nothing(llm, monkeypatch):
     assert sorted(r.doc_id for r in jaccard.drop_near_duplicates(df).collect()) == kept_ids(rows)
 
 
+def test_hot_shingles_are_dealt(llm, monkeypatch):
+    """All texts share all shingles but a few, so that the sample's order cannot avoid frequent ones."""
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(150):
+        copy = list(words)
+        for at in rng.sample(range(60), rng.randrange(4)):
+            copy[at] = f"n{k % 11}"
+        rows.append((k, " ".join(copy)))
+    df = llm.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for name, value in (("SAMPLE", 1), ("SAMPLE_SEEN", 2), ("HOT_ROWS", 7)):
+        monkeypatch.setattr(jaccard, name, value)
+    assert sorted(r.doc_id for r in jaccard.drop_near_duplicates(df).collect()) == kept_ids(rows)
+
+
+def test_pivots_in_any_batches():
+    rng = np.random.default_rng(0)
+    rows = np.column_stack([np.sort(rng.integers(0, 40, 200)), np.full(200, -1), np.arange(200), np.arange(200) * 7])
+    first = {h: k for k, h in reversed(list(enumerate(rows[:, 0].tolist())))}
+    size = np.bincount(rows[:, 0])
+    want = [(h, -1, n, p, first[h], first[h] * 7) for h, _, n, p in rows.tolist() if size[h] > 1]
+    for step in (1, 2, 3, 50, 200):
+        got, carried, pivot = [], rows[:0], None
+        for at in range(0, 200, step):
+            part = np.concatenate([carried, rows[at:at + step]])
+            out, pivot = jaccard._next_to_pivots(part, pivot, last=False)
+            carried = part[-1:]
+            got += zip(*(c.to_pylist() for c in out.columns))
+        got += zip(*(c.to_pylist() for c in jaccard._next_to_pivots(carried, pivot, last=True)[0].columns))
+        assert got == want, step
+
+
 def test_block_edges_of_long_texts(monkeypatch):
     from depscope.llm import simhash
     text = " ".join(f"w{k % 57}" for k in range(900)).encode()

@@ -10,6 +10,7 @@ from check import rows_of
 from conftest import SF
 from depscope.llm import bpe, lines, queries
 from depscope.session import store
+from test_jaccard import kept_ids
 
 TABLES = ("documents", "benchmark", "conversations", "pages", "labels", "embeddings")
 
@@ -72,8 +73,8 @@ def plain_pipeline(engine):
     docs = [r for r in docs if r[0] in kept]
     bad = brute.boilerplate([(t, s) for _, t, s in docs], lines.RATIO_PERMILLE, lines.MIN_PAGES)
     docs = sorted((d, brute.without(t, s, bad)) for d, t, s in docs)
-    _, group = brute.near_groups(docs)
-    docs = [r for k, r in enumerate(docs) if group[k] == k]  # sorted by id: the first of a group has the least
+    first = set(kept_ids(docs))  # by the Jaccard similarity of all pairs
+    docs = [r for r in docs if r[0] in first]
     leaks = {d for d, _ in brute.leaks(docs, engine.execute("select item_id, text from benchmark").fetchall())}
     return [r for r in docs if r[0] not in leaks]
 
