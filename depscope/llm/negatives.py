@@ -30,8 +30,9 @@ BLOCK_ANCHORS = 1_024
 LIMIT = 1 << 26
 #: Dimensions of a group; pairs are pruned after each.
 STEP = 8
-#: Anchors that a task follows side by side.
+#: Anchors that a task follows side by side, until so few pairs are left; then each by itself.
 TOGETHER = 64
+SPARSE = 0.05
 #: Thresholds are lowered by these parts of the way from the highest possible score to the window's end.
 LOWERINGS = (0.15, 0.25, 0.35, 0.5, 1.0)
 #: Ends of windows without a bound.
@@ -95,23 +96,31 @@ class _Index:
         """
         # groups that list a row: those where its rest could still reach the lowest threshold
         listed = (self.row_rest[:, :-1] * self.anchor_rest[own, :-1].max(axis=0) + self.slack >= low.min()).sum(axis=1)
-        known = np.flatnonzero(listed)
-        partial = self.anchors[own, :STEP] @ self.rows[known, :STEP].T
-        rest = self.anchor_rest[own, 1][:, None] * self.row_rest[known, 1] + self.slack
-        alive = (partial + rest >= low[:, None]) & (partial - rest <= high[:, None])
+        known = np.argsort(-listed, kind="stable")[: np.count_nonzero(listed)]  # then a group's list is the first rows
+        listed = listed[known]
+        partial, alive = np.zeros((len(own), len(known))), np.ones((len(own), len(known)), bool)
+        first = 0
+        while first < self.groups and (first == 0 or np.count_nonzero(alive) > SPARSE * alive.size):
+            n = int(np.searchsorted(-listed, -first, side="left"))  # the others' lists have ended, they wait for the exact product
+            at = slice(first * STEP, (first + 1) * STEP)
+            sums = partial[:, :n]
+            sums += self.anchors[own, at] @ self.rows[known[:n], at].T
+            first += 1
+            rest = np.outer(self.anchor_rest[own, first], self.row_rest[known[:n], first]) + self.slack
+            alive[:, :n] &= (sums + rest >= low[:, None]) & (sums - rest <= high[:, None])
         for k, anchor in enumerate(own):
             left = np.flatnonzero(alive[k])
-            rows, sums = known[left], partial[k, left]
-            for g in range(1, self.groups):
-                on = listed[rows] > g  # the lists of the others have ended, they wait for the exact product
+            rows, sums, length = known[left], partial[k, left], listed[left]
+            for g in range(first, self.groups):
+                on = length > g
                 if not on.any():
                     break
                 at = slice(g * STEP, (g + 1) * STEP)
                 sums[on] += self.rows[rows[on], at] @ self.anchors[anchor, at]
-                done = np.minimum(listed[rows], g + 1)
-                rest = self.anchor_rest[anchor, done] * self.row_rest[rows, done] + self.slack
+                end = np.minimum(length, g + 1)
+                rest = self.anchor_rest[anchor, end] * self.row_rest[rows, end] + self.slack
                 keep = (sums + rest >= low[k]) & (sums - rest <= high[k])
-                rows, sums = rows[keep], sums[keep]
+                rows, sums, length = rows[keep], sums[keep], length[keep]
             if self.exact:
                 yield k, rows, (self.rows[rows] @ self.anchors[anchor]).astype(np.int64)
             else:
@@ -137,23 +146,30 @@ def search_block(rows: dict[str, np.ndarray], anchors: dict[str, np.ndarray], sa
     low, high = anchors["low"].astype(np.float64), anchors["high"].astype(np.float64)
     most, floor = np.minimum(high, index.reach + 1), np.maximum(low, -index.reach - 1)
     waiting = np.flatnonzero(floor <= most)
+    waiting = waiting[np.argsort(anchors["row"][waiting], kind="stable")]
     for part in LOWERINGS if index.exact else LOWERINGS[-1:]:
         unfilled = []
-        for at in range(0, len(waiting), TOGETHER):
-            own = waiting[at : at + TOGETHER]
-            least = np.ceil(most[own] - part * (most[own] - floor[own]))
-            for n, found, score in index.candidates(own, least, high[own]):
-                a = own[n]
-                fits = (rows["label"][found] == anchors["label"][a]) == same_label
-                fits &= (rows["row"][found] != anchors["row"][a]) & (score >= anchors["low"][a]) & (score <= anchors["high"][a])
-                if part < 1:
-                    fits &= score >= least[n]
-                found, score = found[fits], score[fits]
-                if len(found) < k and part < 1:
-                    unfilled.append(a)
-                    continue
-                best = _first(score, rows["vec_id"][found], k)
-                yield a, found[best], score[best]
+        least = np.ceil(most - part * (most - floor))
+        # the windows of an anchor share its products
+        each, start = np.unique(anchors["row"][waiting], return_index=True)
+        windows = np.split(waiting, start[1:])
+        for at in range(0, len(each), TOGETHER):
+            near = windows[at : at + TOGETHER]
+            own = np.array([w[0] for w in near])
+            for n, known, products in index.candidates(own, np.array([least[w].min() for w in near]), np.array([high[w].max() for w in near])):
+                usable = (rows["label"][known] == anchors["label"][own[n]]) == same_label
+                usable &= rows["row"][known] != anchors["row"][own[n]]
+                known, products = known[usable], products[usable]
+                for a in near[n].tolist():
+                    fits = (products >= anchors["low"][a]) & (products <= anchors["high"][a])
+                    if part < 1:
+                        fits &= products >= least[a]
+                    found, score = known[fits], products[fits]
+                    if len(found) < k and part < 1:
+                        unfilled.append(a)
+                        continue
+                    best = _first(score, rows["vec_id"][found], k)
+                    yield a, found[best], score[best]
         waiting = np.array(unfilled, np.int64)
 
 
