@@ -356,6 +356,8 @@ def _large_groups(contents: DataFrame, length: int) -> DataFrame:
                         out.append((doc, tag, start, data, part, None))
                 elif (doc, start) != lead:
                     out.append((doc, tag, start, None, part, None))
+                elif first_run:  # another row of the same id at the same place: as early, and as late, as the first
+                    out.append((doc, tag, start, data, part, None))
             if out:
                 yield pa.RecordBatch.from_pylist([dict(zip(("doc", "tag", "start", "head", "part", "tail"), r, strict=True)) for r in out], schema)
         if last is not None:

@@ -103,6 +103,20 @@ def test_suffixes_spread_over_ranges(llm):
     assert suffix_rows(llm.createDataFrame(rows, "doc_id long, text string"), 30, 10, 5) == brute.repeats(rows, 30)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_suffixes_of_repeated_ids_at_range_boundaries(llm, seed):
+    """Ranges stay apart, so that rows of one id with one beginning stand first in a range."""
+    rng = random.Random(seed)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(22))  # three windows: each is an end of what goes, but one
+    rows = [(k, base + "".join(rng.choice("ijklmnop") for _ in range(40))) for k in range(60) for _ in range(3)]
+    llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = suffix_rows(llm.createDataFrame(rows, "doc_id long, text string"), 20, 8, 1)
+    finally:
+        llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == brute.repeats(rows, 20)
+
+
 def test_long_texts_in_stretches(monkeypatch):
     rng = np.random.default_rng(4)
     text = bytes(rng.integers(97, 123, 3000, dtype=np.uint8))
