@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn, sinks, sources
 from ..operators import audit
+from ..streaming import current_summary, update_summary
 from .registry import query
 
 # --- the checking side: events recomputed from the view ---
@@ -248,6 +249,18 @@ def _(i):
     return audit.merge_summaries(i.spark.read.parquet(i.landed("partials", write)))
 
 
+@query("x_incremental", SUMMARY, "audit")
+def _(i):
+    # lines arrive in no order, so that each batch after the first touches days already stored
+    def write(path):
+        dealt = i.audit_json().select("line", F.pmod(F.xxhash64("line"), F.lit(3)).alias("part"))
+        dealt.write.partitionBy("part").text(path)
+    arrived, out = i.landed("arrived_lines", write), i.scratch("followed")
+    files = i.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(arrived).select("path").count()
+    update_summary(i.spark, arrived, out, max_files=-(-files // 3)).awaitTermination()
+    return current_summary(i.spark, out)
+
+
 @query("agg_run_counters", f"""select count(*) filter (not {NOISE}) as events, count(*) filter ({NOISE}) as filtered,
   count(*) filter (event_id % 19 = 0) + count(*) filter (event_id % 29 = 0) as bad_json,
   count(distinct src) as files from v_audit""", "audit")

@@ -41,7 +41,7 @@ class Inputs:
         return scratch_path(self.spark, name)
 
     def rename_parts(self, parts: str, folder: str, ending: str) -> None:
-        """Give the one file of each ``key=value`` folder the name of its value."""
+        """Give the files of each ``key=value`` folder the name of its value, numbered if several."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         as_path = jvm.org.apache.hadoop.fs.Path
         fs = as_path(parts).getFileSystem(conf)
@@ -49,8 +49,10 @@ class Inputs:
         for part in fs.listStatus(as_path(parts)):
             if part.isDirectory():
                 name = part.getPath().getName().split("=", 1)[1]
-                for file in fs.listStatus(part.getPath()):
-                    fs.rename(file.getPath(), as_path(f"{folder}/{name}{ending}"))
+                files = sorted((f.getPath() for f in fs.listStatus(part.getPath())), key=lambda f: f.getName())
+                for k, file in enumerate(files):
+                    number = f".{k:05d}" if len(files) > 1 else ""
+                    fs.rename(file, as_path(f"{folder}/{name}{number}{ending}"))
 
     # --- audit ---
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from .. import functions as fn, sinks, sources
 from ..operators import lineage, objects
+from ..operators.numbering import place_in_group
 from .registry import query
 
 # --- the checking side ---
@@ -92,7 +93,7 @@ def _search_results(i):
         hit = F.struct("guid", "typeName", "attributes", "uniqueAttributes")
         nameless = F.struct(F.lit("").alias("guid"), "typeName", "attributes", "uniqueAttributes")
         hits = e.select(F.col("typeName").alias("t"), "pos", F.explode(F.array(hit, nameless, hit)).alias("h"))
-        lines = hits.repartition("t").sortWithinPartitions("t", "pos").select("t", F.to_json("h").alias("value"))
+        lines = hits.repartitionByRange("t", "pos").sortWithinPartitions("t", "pos").select("t", F.to_json("h").alias("value"))
         lines.write.partitionBy("t").text(f"{path}/parts")
         i.rename_parts(f"{path}/parts", f"{path}/search", ".jsonl")
     return sources.search_results(i.spark, i.landed("search", write))
@@ -109,8 +110,7 @@ def _(i):
   select search_type, guid, row_number() over (partition by search_type order by p) as place from f""", "entities")
 def _(i):
     found = objects.guids_by_type(objects.search_hits(_search_results(i)), "search_type")
-    order = Window.partitionBy("search_type").orderBy("first_pos")
-    return found.select("search_type", "guid", F.row_number().over(order).cast("bigint").alias("place"))
+    return place_in_group(found, ["search_type"], ["first_pos"], "place").drop("first_pos")
 
 
 # --- entities ---
