@@ -60,18 +60,22 @@ def _day() -> Column:
     return F.when(F.col("window_start") == "", UNTIMED).otherwise(F.substring("window_start", 1, 10))
 
 
-def merge_batch(lines: DataFrame, batch_id: int, out: str, minutes: int = 30) -> None:
-    """Merge one batch of audit lines into the stored days that it touches."""
-    spark, out = lines.sparkSession, out.rstrip("/")
+def merge_batch(spark: SparkSession, lines: DataFrame, batch_id: int, out: str, minutes: int = 30) -> None:
+    """Merge one batch of audit lines into the stored days that it touches.
+
+    The session of a stream's batch has no adaptive execution, so only the new lines are summed up
+    there; the merge runs in ``spark``.
+    """
+    out = out.rstrip("/")
     batches = _complete_batches(spark, out)
     if batch_id in batches:
         return
     if batches and max(batches) > batch_id:
         raise ValueError(f"{out} holds batch {max(batches)}, so batch {batch_id} belongs to another stream")
     new = store(audit.summary(audit.events(lines), minutes), "new_summary")
-    known = _folders_by_day(batches, out)
-    days = [r.day for r in new.select(_day().alias("day")).distinct().collect()]  # days of a calendar
-    merged = audit.merge_summaries(new, _read(spark, [known[d] for d in days if d in known]))
+    parts, known = _read(spark, list(new.inputFiles())), _folders_by_day(batches, out)
+    days = [r.day for r in parts.select(_day().alias("day")).distinct().collect()]  # days of a calendar
+    merged = audit.merge_summaries(parts, _read(spark, [known[d] for d in days if d in known]))
     (merged.withColumn("day", _day()).hint("rebalance", "day").write.mode("overwrite")
      .option("partitionOverwriteMode", "static").partitionBy("day").parquet(f"{out}/summary/batch={batch_id}"))
     discard(new)
@@ -91,7 +95,7 @@ def update_summary(
         .option("recursiveFileLookup", True).load(files)
         .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file")))
     return (
-        lines.writeStream.foreachBatch(lambda batch, number: merge_batch(batch, number, out, minutes))
+        lines.writeStream.foreachBatch(lambda batch, number: merge_batch(spark, batch, number, out, minutes))
         .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
 
 
