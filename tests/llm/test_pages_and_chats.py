@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -40,6 +41,41 @@ DIVISIONS = [
 ]
 
 
+NAMED = [
+    f"<article class='post has-comments'><p>{LONG}</p></article>", f"<div class='content comments-open'><p>{LONG}</p></div>",
+    f"<main id=main class=social><p>{LONG}</p></main>", f"<div class='ad-free reading'><p>{LONG}</p></div>",
+    f"<div class=comments><p>{LONG}</p></div><p>few words</p>", f"<div id=text><p>{LONG}</p></div><div id=bottom>Copyright somebody</div>",
+    f"<div id=text><p>{LONG}</p></div><div id=discussion><p>{LONG}</p><p>{LONG}</p></div>", f"<div id=text><p>{LONG}</p></div><div id=credits>All rights</div>",
+    f"<article><p>{LONG}</p><div class='article-comments'><p>{LONG * 3}</p></div></article>",
+]
+
+
+@pytest.mark.parametrize("page", NAMED, ids=range(len(NAMED)))
+def test_words_in_class_and_id(page):
+    """A word lowers a score; it costs no article, and brings no comments in."""
+    assert extract.main_text(page).removesuffix(" few words") == LONG.strip()
+
+
+def test_formula_stays():
+    assert extract.main_text(f"<article><p>{LONG}<math><mi>x</mi></math></p></article>") == LONG + "x"
+
+
+BROKEN = {"open tags": "<a " * 350_000, "open quote": "<a x " * 200_000 + "\">", "open spans": "<span>x</div>" * 80_000,
+          "stopped": "<b><div>" + "<span>x" * 50_000 + "</b>" * 50_000, "bodies": "<head>" + "<i>" * 50_000 + "<body>" * 50_000,
+          "comments": "<!-- " * 200_000, "signs": "<" * 1_000_000, "suspects": "<p class=ad>x" * 50_000, "nested": "<div class=ad>x" * 50_000}
+
+
+@pytest.mark.parametrize("page", BROKEN.values(), ids=BROKEN)
+def test_long_broken_pages(page):
+    begin = time.monotonic()
+    extract.main_text(page)
+    assert time.monotonic() - begin < 12  # a quadratic reader takes minutes
+
+
+def test_very_long_page():
+    assert extract.main_text(f"<article>{f'<p>{LONG}</p>' * 5000}</article>") == " ".join([LONG.strip()] * 5000)
+
+
 @pytest.mark.parametrize("page, text", DIVISIONS, ids=range(len(DIVISIONS)))
 def test_divisions(page, text):
     """What is no block of links stays, however short it is beside the best part."""
