@@ -5,8 +5,8 @@ words of every window of the test items and of the documents, and equal hashes a
 fixes an alignment of item and document, which is then compared word by word: it is
 contaminated if some run of ``RUN_WORDS`` aligned words (the whole item, if shorter) agrees in
 ``SIMILARITY_PERCENT`` or more of its words. The masks have a window that avoids any two
-substitutions in a run, and those for short items one that avoids as many as these may have, so
-that nothing within the threshold is missed.
+substitutions in a run, and those for short items one that avoids as many as these may have; items of
+one to four words have a mask of all their words. So nothing within the threshold is missed.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ MASKS = ("11010011", "11001011")
 #: For items shorter than a run: together they miss no item of MIN_WORDS to 12 words.
 SHORT_MASKS = ("1011", "1101")
 RUN_WORDS = 13
-#: Items with fewer words are too short to tell a leak from common speech, and match nothing.
+#: Items with fewer words may differ in none: they match as whole phrases, by a mask of their length.
 MIN_WORDS = 5
 SIMILARITY_PERCENT = 80
 #: Seeds of the test items are broadcast up to so many rows (about 40 bytes each), as are the
@@ -62,28 +62,38 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] =
     """doc_id, text_key, item_id, n_words (of the item), matched_words: one row for each pair.
 
     ``text_key`` is a hash of the text, so that a null or repeated doc_id still tells documents
-    apart; ``matched_words`` is the best alignment's count. Null and empty texts match nothing,
-    nor do items with fewer than ``MIN_WORDS`` words. Repeated rows give one result. Items of equal
-    words are searched once. Documents get seeds of the short masks only where some item is short. Hits are counted once per document, item and alignment before
+    apart; ``matched_words`` is the best alignment's count. Null and empty texts match nothing. Items with
+    fewer than ``MIN_WORDS`` words match where all of them stand together. Repeated rows give one result, empty
+    tables none. Columns other than doc_id, item_id and text are not looked at, whatever their names. Very long
+    texts are hashed word by word where they are. Items of equal words are searched once. Documents get seeds of the short masks only where some item is short. Hits are counted once per document, item and alignment before
     anything else is done with them; texts are read again only for documents with a hit.
     """
     items = benchmark.select(present(benchmark, "item_id", "bigint").alias("item_id"),
                              word_hashes(present(benchmark, "text", "string")).alias("hashes"))
-    items = store(items.where(F.size("hashes") >= MIN_WORDS).withColumn("item", F.xxhash64("hashes")), "items")
+    items = store(items.where(F.size("hashes") > 0).withColumn("item", F.xxhash64("hashes")), "items")
     texts = items.groupBy("item").agg(F.first("hashes").alias("item_hashes"))
     by_item = texts.withColumnRenamed("item_hashes", "hashes")
-    is_short = F.size("hashes") < run_words
-    wanted = seeds(by_item.where(~is_short), ["item"], masks)
-    if items.where(is_short).limit(1).count():
-        wanted = wanted.unionByName(seeds(by_item.where(is_short), ["item"], short_masks))
+    n = F.size("hashes")
+    wanted = seeds(by_item.where(n >= run_words), ["item"], masks)
+    if items.where((n >= MIN_WORDS) & (n < run_words)).limit(1).count():
+        wanted = wanted.unionByName(seeds(by_item.where((n >= MIN_WORDS) & (n < run_words)), ["item"], short_masks))
         masks = masks + short_masks
+    phrases = [r.n for r in items.where(n < MIN_WORDS).select(n.alias("n")).distinct().collect()]  # lengths below MIN_WORDS
+    wanted = wanted.withColumn("phrase", F.lit(False))
+    for length in phrases:
+        wanted = wanted.unionByName(seeds(by_item.where(n == length), ["item"], ("1" * length,)).withColumn("phrase", F.lit(True)))
+        masks = (*masks, "1" * length)
     item_seeds = store(wanted.distinct(), "item_seeds")
 
     text = present(docs, "text", "string")
     own = docs.select(present(docs, "doc_id", "bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), word_hashes(text).alias("hashes"))
     known = bounded_broadcast(item_seeds.withColumnRenamed("at", "item_at"), BROADCAST_SEEDS)
     hits = seeds(own, ["doc_id", "text_key"], masks).join(known, "seed")
-    hits = store(hits.select("doc_id", "text_key", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
+    hits = hits.select("doc_id", "text_key", "item", "phrase", (F.col("at") - F.col("item_at")).alias("shift"))
+    if phrases:  # a phrase is whole wherever it is hit, and need not be compared at each place
+        first = hits.where("phrase").groupBy("doc_id", "text_key", "item", "phrase").agg(F.min("shift").alias("shift"))
+        hits = hits.where("not phrase").unionByName(first)
+    hits = store(hits.drop("phrase").distinct(), "hits")
 
     keys = bounded_broadcast(
         hits.select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).distinct(), BROADCAST_KEYS)

@@ -14,8 +14,8 @@ from .common import bounded_broadcast, free_name, present, quoted
 
 #: A line is dropped on more than this share (in thousandths) of its host's pages …
 RATIO_PERMILLE = 100
-#: … if so many pages have it: on small hosts a share alone says nothing.
-MIN_PAGES = 5
+#: … if so many pages have it: a line of one page repeats nothing.
+MIN_PAGES = 2
 #: Host lists are broadcast up to so many hosts. A list holds at most (mean lines of a page /
 #: ratio) hashes, as each listed line takes up that share of the pages.
 BROADCAST_HOSTS = 20_000
@@ -53,7 +53,8 @@ def drop_boilerplate(docs: DataFrame, ratio_permille: int = RATIO_PERMILLE, min_
     Two columns are appended: ``n_lines`` and ``n_dropped`` (with underscores if the names are
     taken). A null text stays null with no lines; a text that loses all its lines becomes
     empty. Rows without a host form one host. Repeated rows count as pages of their own. No row
-    is dropped, and an empty table gives an empty result. Runs jobs for the host lists.
+    is dropped, and an empty table gives an empty result. Very long texts are split where they are; no
+    list is longer than the lines of one text. Runs jobs for the host lists.
     """
     n_lines, n_dropped, host, found = free_name(docs, "n_lines", "n_dropped", "list_host", "list_lines")
     lists = store(boilerplate(docs, ratio_permille, min_pages), "boilerplate")

@@ -126,7 +126,7 @@ _TOKENS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), la
 LEAKS_SQL = f"""
 with d as (select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as p from (select doc_id, {_TOKENS} as ws from documents)),
 b as (select item_id, len(ws) as n, unnest(ws) as w, generate_subscripts(ws, 1) as q from (select item_id, {_TOKENS} as ws from benchmark)
-      where len(ws) >= {decontaminate.MIN_WORDS}),
+      where len(ws) > 0),
 pairs as (select doc_id, item_id, n, p - q as shift, q from d join b on d.w = b.w),
 counted as (select *, count(*) over (partition by doc_id, item_id, shift) as matched, least(n, {decontaminate.RUN_WORDS}) as run from pairs),
 ranked as (select *, row_number() over (partition by doc_id, item_id, shift order by q) as k,

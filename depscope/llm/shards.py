@@ -4,8 +4,8 @@ Rows of one group (equal texts) are linked. Rows without links wait until the en
 fill the shards up. Linked rows start on evenly dealt shards and move in rounds: each group
 counts its rows by shard, and rows elsewhere ask to move to the shard that holds most of them.
 Between two shards as many rows move one way as the other way, and beyond that as many as the
-quota has room for. A group never needs a list of its pairs. Groups larger than half a shard
-are cut into parts of that size first. In the end every shard has N / shards rows, or one
+quota has room for. A group never needs a list of its pairs. Groups larger than a shard
+are cut into parts of half that size first. In the end every shard has N / shards rows, or one
 more: rows beyond a quota go with those without links.
 """
 
@@ -80,10 +80,11 @@ def assign(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     quota = [total // shards + (k < total % shards) for k in range(shards)]
     sizes = rows.groupBy("group").agg(F.count("*").alias("group_n"))
     sized = store(rows.select("row", "group").join(store(sizes.where("group_n > 1"), "groups"), "group", "left"), "sized")
-    part_size = max(1, total // shards // 2)  # two parts can share a shard, and one leaves room for small groups
-    large = sized.where(F.col("group_n") > part_size)
+    most = max(1, total // shards)
+    part_size = max(1, most // 2)  # two parts can share a shard, and one leaves room for small groups
+    large = sized.where(F.col("group_n") > most)  # only what no shard can hold is cut
     parts = number(large, ["group"], ["row"], "k", buckets=buckets_for(total)).withColumn("part", F.floor(F.col("k") / part_size)).drop("k")
-    linked = parts.unionByName(sized.where(F.col("group_n") <= part_size).withColumn("part", F.lit(0).cast("bigint")))
+    linked = parts.unionByName(sized.where(F.col("group_n") <= most).withColumn("part", F.lit(0).cast("bigint")))
     linked = store(linked.select("row", "group", "part"), "linked")
     placed = store(number(linked, [], ["row"], "k", buckets=buckets_for(total)).select("row", "group", "part", (F.col("k") % shards).cast("int").alias("shard")), "placed")
 

@@ -80,7 +80,7 @@ def tokens(text):
 
 
 def leaks(docs, items, run_words=13):
-    """{(doc_id, item_id): matched words} by all alignments with a common word."""
+    """{(doc_id, item_id): matched words} by all alignments with a common word; under 5 words, all have to be equal."""
     found = {}
     for d, text in docs:
         places = defaultdict(list)
@@ -90,7 +90,7 @@ def leaks(docs, items, run_words=13):
             words = tokens(passage)
             run = min(run_words, len(words))
             need = -(-run * 80 // 100)
-            if len(words) < 5:
+            if not words:
                 continue
             shifts = defaultdict(list)
             for q, w in enumerate(words):

@@ -3,7 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import brute
-from depscope.llm import decontaminate, quality, shards
+from depscope.llm import decontaminate, lines, quality, shards
 
 
 def test_base_counts(llm, real_docs, messy):
@@ -68,13 +68,13 @@ def test_leaks(llm):
     vocabulary = [f"w{k}" for k in range(300)] + ["the", "of", "and"] * 30
     def words(n):
         return [rng.choice(vocabulary) for _ in range(n)]
-    items = [(k, " ".join(words([4, 5, 8, 9, 12, 14, 40][k % 7]))) for k in range(30)] + [(30, None), (31, ""), (None, " ".join(words(20)))]
+    items = [(k, " ".join(words([4, 5, 8, 9, 12, 14, 40, 2, 3, 1][k % 10]))) for k in range(30)] + [(30, None), (31, ""), (None, " ".join(words(20)))]
     items.append((99, items[3][1]))
     docs = []
     for k in range(80):
         body = words(60)
         passage = (items[k % 30][1] or "").split()
-        for at in rng.sample(range(len(passage)), min(len(passage), k % 5)):
+        for at in rng.sample(range(len(passage)), min(len(passage), k // 7 % 5)):
             passage[at] = "changed"
         if k % 3:
             body[20:20] = [w.upper() + "," for w in passage]
@@ -83,10 +83,23 @@ def test_leaks(llm):
     found = decontaminate.contaminated(llm.createDataFrame(docs, "doc_id long, text string"), llm.createDataFrame(items, "item_id long, text string"))
     got = {(r.doc_id, r.item_id): r.matched_words for r in found.collect()}
     want = brute.leaks(docs, items)
-    assert got == want and {len(brute.tokens(dict(items)[k])) for _, k in want} >= {5, 8, 9, 12, 14, 40}
+    assert got == want and {len(brute.tokens(dict(items)[k])) for _, k in want} >= {1, 2, 3, 4, 5, 8, 9, 12, 14, 40}
     assert found.count() == len(got)
 
 
+def test_phrases_of_a_very_long_text(llm):
+    docs = [(1, "Filler words. " * 60_000 + "the End, my friend " + "and more " * 60_000), (2, "the end my only friend"), (3, "the")]
+    items = [(1, "The end, my friend!"), (2, "the"), (3, "of"), (4, "and more and")]
+    found = decontaminate.contaminated(llm.createDataFrame(docs, "doc_id long, text string"), llm.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id, r.matched_words) for r in found.collect()) == [(1, 1, 4), (1, 2, 1), (1, 4, 3), (2, 2, 1), (3, 2, 1)]
+
+
+def test_lines_of_small_hosts(llm):
+    rows = [(k, f"own {k}\nsame line", "a") for k in range(4)] + [(9, "same line\nother", "b")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.doc_id: r.text for r in lines.drop_boilerplate(docs).collect()} == {**{k: f"own {k}" for k in range(4)}, 9: "same line\nother"}
+
+
 def test_leaks_by_shuffled_joins(llm, monkeypatch, real_docs):
     benchmark = llm.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     docs = llm.createDataFrame(real_docs, "doc_id long, text string, lang string, source string")
@@ -135,6 +148,16 @@ def test_shards_keep_groups_together(llm):
     assert split <= 8  # a group at a quota's edge
 
 
+def test_groups_that_fit_stay_whole(llm):
+    """As many shards as large groups: halves could keep only half of the links."""
+    rows = [(k, f"text {k % 4}") for k in range(360)] + [(k, f"alone {k}") for k in range(360, 400)]
+    found = check_shards(shards.shard_documents(llm.createDataFrame(rows, "doc_id long, text string").repartition(4), 4), rows, 4)
+    pairs, kept = 4 * 90 * 89 // 2, 0
+    for n in Counter((dict(rows)[r.doc_id], r.shard) for r in found if r.doc_id < 360).values():
+        kept += n * (n - 1) // 2
+    assert kept * 10 >= pairs * 7
+
+
 def test_shards_where_all_is_linked(llm):
     rows = [(k, f"pair {k // 2}") for k in range(200)]
     found = check_shards(shards.shard_documents(llm.createDataFrame(rows, "doc_id long, text string"), 4), rows, 4)
