@@ -2,6 +2,7 @@
 
 import itertools
 import json
+from pathlib import Path
 import random
 
 import pytest
@@ -473,3 +474,56 @@ def test_kudu_descriptions_by_file(spark, tmp_path):
 def test_jdbc_listing_is_read_in_parallel(spark):
     with pytest.raises(ValueError, match="numPartitions"):
         sources.jdbc_listing(spark, {"url": "jdbc:none"})
+
+
+@pytest.mark.parametrize("dedupe", ["pair", "triple"])
+def test_small_payloads_stay_one_row(spark, dump, monkeypatch, dedupe):
+    """Links are found without a shuffle, the same as by joins; so are pairs, whichever way they go."""
+    path, _ = dump
+
+    def found():
+        return lineage.links(sources.lineage_payloads(spark, path)).drop("payload_id")
+
+    def rows():
+        made = lineage.collapse(sources.lineage_payloads(spark, path), sources.entities(spark, path), dedupe)
+        return sorted(map(repr, made.drop("payload_id").collect()))
+    near = lineage.links(sources.lineage_payloads(spark, path)).drop("payload_id").collect()
+    slim = lineage.slim_payloads(sources.lineage_payloads(spark, path))
+    assert slim.where("relations is not null").isEmpty()
+    want = rows()
+    monkeypatch.setattr(lineage, "PAIRED_IN_ROW", 2)
+    assert rows() == want
+    monkeypatch.setattr(lineage, "IN_ROW", 12)
+    assert sorted(map(repr, found().collect())) == sorted(map(repr, near)) and rows() == want and len(near) > 100
+    monkeypatch.setattr(lineage, "PAYLOAD_LINKS", 3)
+    assert rows() == want
+
+
+def test_pairs_need_one_shuffle_of_links(spark):
+    rows = [(p, "P", 1, r, k, f"{r}{k}") for p in range(50) for r in ("in", "out") for k in range(3)]
+    df = spark.createDataFrame(rows, "payload_id long, proc string, proc_pos int, role string, rel_pos int, guid string") \
+        .withColumn("object_type", F.lit("t")).withColumn("name", F.col("guid"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = lineage.edges_from_links(df)
+        assert len(edges.collect()) == 50 * 18
+        plan = edges._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning") == 2  # inputs and outputs, each once
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_landed_dump_is_compressed(spark, tmp_path):
+    from depscope.plans.inputs import Inputs
+    li = spark.range(3000).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"),
+                                  F.lit("R").alias("l_returnflag"))
+    li.write.parquet(str(tmp_path / "lineitem.parquet"))
+    payloads = Inputs(spark, str(tmp_path)).payloads()
+    size = payloads.select(F.sum(F.length(F.to_json(F.struct("seedGuid", "typeName", "lineage"))))).first()[0]
+    part = spark.createDataFrame([(1, 1, "b", "n", "t")], "p_partkey long, p_size int, p_brand string, p_name string, p_type string")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(1, "n")], "s_suppkey long, s_name string").write.parquet(str(tmp_path / "supplier.parquet"))
+    path = Inputs(spark, str(tmp_path)).catalog_dump()
+    landed = list(Path(path.removeprefix("file:")).glob("lineage/part-*"))
+    assert 0 < sum(f.stat().st_size for f in landed) < size / 5
+    assert sources.lineage_payloads(spark, path, pattern="*.txt.gz").count() == 3000
