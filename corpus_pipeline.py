@@ -14,6 +14,9 @@ from depscope.llm.common import importable, quoted, table
 from depscope.session import configure, store
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+#: Rows come to Python in batches of about so many bytes, or one longer row: workers of several
+#: stages, and the executor's own buffers, share an executor's memory.
+BATCH_BYTES = 2 << 20
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +36,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id.
 
     Two texts are linked if their sets of 5-word shingles have a Jaccard similarity of 0.8 or
-    more. The query op5_simhash_groups has a rule of its own.
+    more. SimHash fingerprints find most links, and a prefix filter those that they miss; all are
+    verified on the sets. The query op5_simhash_groups has a rule of its own.
     """
     return jaccard.drop_near_duplicates(docs)
 
@@ -44,16 +48,21 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, and the counts and digests of the round trip."""
+    """doc_id, ids, and the counts and digests of the round trip.
+
+    The ids are stored before they are decoded, so that a task has one Python worker at a time.
+    """
     ranks = bpe.load_ranks(public_tokenizers.path(RANK_FILE))
-    decoded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks, public_tokenizers.PATTERN)
+    encoded = store(bpe.encode(docs, ranks, public_tokenizers.PATTERN), "encoded")
+    decoded = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
     return bpe.digests(decoded, "ids")
 
 
 def _ready(stage):
     """The session's settings hold, and workers find the package, whoever calls a stage."""
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        return stage(importable(configure(spark)), docs, sf_dir)
+        configure(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(importable(spark), docs, sf_dir)
     return run_stage
 
 

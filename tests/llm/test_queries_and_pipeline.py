@@ -67,6 +67,15 @@ def test_one_query_for_each_operator(number):
     assert sum(n.startswith(f"op{number}_") for n in queries.llm_queries()) == 1
 
 
+def test_encoding_stage_is_light(llm):
+    """A task of the last stage has one Python worker, which gets small batches."""
+    docs = llm.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    found = corpus_pipeline.STAGES[-1][1](llm, docs, SF)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert int(llm.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == corpus_pipeline.BATCH_BYTES
+    assert {(r.doc_id, r.n_tokens > 0) for r in found.collect()} == {(1, True), (2, False)}
+
+
 def plain_pipeline(engine):
     docs = engine.execute("select doc_id, text, source from documents").fetchall()
     kept = {d for d, *rest in engine.execute(f"select doc_id, kept from ({queries.QUALITY_SQL})").fetchall() if rest[0]}
