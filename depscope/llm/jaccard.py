@@ -1,6 +1,10 @@
-"""Near-duplicates by the exact Jaccard similarity of 5-word shingles.
+"""Near-duplicates by SimHash and the exact Jaccard similarity of 5-word shingles.
 
-Texts with equal shingle sets are one node. Two sets of similarity 0.8 or more share a shingle
+Texts with equal shingle sets are one node. First come pairs whose fingerprints, taken of the
+sets, are equal or linked by the trie of ``simhash``; verified on the whole sets, they connect
+most near copies. Fingerprints of sets of a similarity of 0.8 differ in more bits than a trie can
+be visited with, so the rest is found by a prefix filter, which compares only what the links by
+fingerprint leave apart. Two sets of similarity 0.8 or more share a shingle
 among the first ``n - ceil(0.8 n) + 1`` of each, in any order that holds for all sets (prefix
 filter), so no pair is missed. The order puts shingles that a sample finds often at the end;
 the sample decides how many candidates there are, never which pairs are found. The prefixes are
@@ -21,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import discard, store
+from . import simhash
 from .common import bounded_broadcast, free_name, present, quoted, text_slices
 from .components import components
 from .simhash import SEED, _word_blocks
@@ -38,7 +43,9 @@ HOT_ROWS = 100_000
 #: Row numbers are broadcast up to so many.
 BROADCAST_ROWS = 1_000_000
 #: Texts and sets come to Python in batches of about so many bytes, or one longer row.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+#: Fingerprints that a task visits at once (see ``simhash.GROUP_LIMIT``).
+PRINTS = 50_000
 #: A task works on so many bytes of text at once: hashes take more room than texts.
 SLICE = 1 << 20
 
@@ -132,7 +139,7 @@ def _often(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _marked(rows: DataFrame, often: np.ndarray, seen: np.ndarray) -> DataFrame:
-    """row, doc_id, key (digest of the set), n (its size), prefix."""
+    """row, doc_id, key (digest of the set), n (its size), fp (its fingerprint), prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, limit=SLICE):
@@ -141,10 +148,11 @@ def _marked(rows: DataFrame, often: np.ndarray, seen: np.ndarray) -> DataFrame:
                 ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     part.column("row"), part.column("doc_id"), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.array([len(s) for s in sets], pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first)))],
-                    ["row", "doc_id", "key", "n", "prefix"])
+                    pa.array([len(s) for s in sets], pa.int32()), pa.array(np.array([simhash.majority(s) for s in sets], np.uint64).view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first)))],
+                    ["row", "doc_id", "key", "n", "fp", "prefix"])
 
-    return rows.select("row", "doc_id", "text").mapInArrow(run, "row bigint, doc_id bigint, key binary, n int, prefix array<bigint>")
+    return rows.select("row", "doc_id", "text").mapInArrow(run, "row bigint, doc_id bigint, key binary, n int, fp bigint, prefix array<bigint>")
 
 
 def _possible(a: str, b: str) -> Column:
@@ -154,9 +162,21 @@ def _possible(a: str, b: str) -> Column:
     return (F.least(n, m) * 10 >= F.greatest(n, m) * TENTHS) & (most * (10 + TENTHS) >= (n + m) * TENTHS)
 
 
-def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """u, v of those ``pairs`` (u, v: rows) whose sets are similar. Stored."""
+def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The ``pairs`` (u, v) whose ends the ``known`` links leave in different components."""
+    roots = store(components(known), "roots")
+    for end in ("u", "v"):
+        pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+    return pairs.where(F.coalesce("u_root", "u") != F.coalesce("v_root", "v")).select("u", "v")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """u, v of those ``pairs`` (u, v: rows) whose sets are similar, but for pairs that the
+    ``known`` links connect. Stored."""
     pairs = store(pairs.distinct(), "pairs")
+    if known is not None:
+        every, pairs = pairs, store(_apart(pairs, known), "apart")
+        discard(every)
 
     def ends(of: DataFrame) -> DataFrame:
         needed = store(of.select(F.col("u").alias("row")).union(of.select("v")).distinct(), "needed")
@@ -175,6 +195,21 @@ def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return found
 
 
+def _by_fingerprint(prints: DataFrame, rows: DataFrame) -> DataFrame:
+    """u, v: similar nodes among those whose fingerprints are equal or linked. Stored.
+
+    ``prints`` (node, fp) is stored. Nodes of one fingerprint meet the first of them, and linked
+    fingerprints meet by their first nodes; what this misses is left to the prefix filter.
+    """
+    firsts = store(prints.groupBy("fp").agg(F.min("node").alias("first")), "firsts")
+    same = prints.join(firsts, "fp").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    linked = simhash.links(firsts.select("fp"), group_limit=PRINTS)
+    for end in ("u", "v"):
+        linked = linked.join(firsts.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_node")), end)
+    across = linked.select(F.greatest("u_node", "v_node").alias("u"), F.least("u_node", "v_node").alias("v"))
+    return _verified(same.unionByName(across), rows)
+
+
 _MEMBER = "h bigint, salt int, node bigint, place bigint, p_node bigint, p_place bigint"
 
 
@@ -232,11 +267,12 @@ def _members(nodes: DataFrame, hot: dict[int, int]) -> DataFrame:
     return store(_grouped(nodes, hot).select("h", "salt", "node", "p_node", *parts), "members")
 
 
-def links(members: DataFrame, rows: DataFrame, hot: dict[int, int]) -> DataFrame:
+def links(members: DataFrame, rows: DataFrame, hot: dict[int, int], known: DataFrame) -> DataFrame:
     """u, v: links between nodes, enough of them to connect all that are similar.
 
     ``members`` (stored, see ``_grouped``) is removed. ``rows`` (row, text) has the texts;
-    ``hot`` tells into how many groups a frequent shingle was dealt.
+    ``hot`` tells into how many groups a frequent shingle was dealt. The ``known`` links are
+    among those returned, and what they connect is not compared.
     """
     stars = members.where("node <> p_node").select("node", "n", "pos", "p_node", "p_n", "p_pos")
     if hot:  # the pivots of a shingle's groups meet the first of them
@@ -244,7 +280,7 @@ def links(members: DataFrame, rows: DataFrame, hot: dict[int, int]) -> DataFrame
         top = pivots.groupBy("h").agg(F.min_by(F.struct(F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("pos").alias("p_pos")), F.xxhash64("node")).alias("top"))
         stars = stars.unionByName(pivots.join(top, "h").select("node", "n", "pos", "top.*").where("node <> p_node"))
     stars = stars.where(_possible("", "p_"))
-    found = _verified(stars.select(F.greatest("node", "p_node").alias("u"), F.least("node", "p_node").alias("v")), rows)
+    found = known.unionByName(_verified(stars.select(F.greatest("node", "p_node").alias("u"), F.least("node", "p_node").alias("v")), rows, known))
 
     split = _split(members.select("h", "node", "n", "pos"), found, members)
 
@@ -306,10 +342,11 @@ def _one_of_each(docs: DataFrame) -> DataFrame:
     marked = store(_marked(keyed, often, seen), "shingles")
     ids = store(marked.select("row", "doc_id", "key").join(marked.groupBy("key").agg(F.min("row").alias("node")), "key").drop("key"), "nodes")
     copies = store(ids.where("row <> node").select("row"), "copies")
-    nodes = marked.join(bounded_broadcast(copies, BROADCAST_ROWS), "row", "left_anti").select(F.col("row").alias("node"), "n", "prefix")
+    nodes = marked.join(bounded_broadcast(copies, BROADCAST_ROWS), "row", "left_anti").select(F.col("row").alias("node"), "n", "fp", "prefix")
+    prints = store(nodes.where("n > 0").select("node", "fp"), "prints")
     members = _members(nodes, hot)
     discard(marked)
-    found = links(members, keyed, hot)
+    found = links(members, keyed, hot, _by_fingerprint(prints, keyed))
     rooted = store(ids.join(components(found), "node", "left").select("row", "doc_id", F.coalesce("root", "node").alias("root")), "labels")
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     kept = rooted.join(least, "root").where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("row").alias("row"))

@@ -30,7 +30,7 @@ BUDGET = 4
 #: sets, and each two sets are visited by a task of their own.
 GROUP_LIMIT = 200_000
 #: Node pairs held at once while the tries are visited.
-FRONTIER = 500_000
+FRONTIER = 100_000
 
 _BLANK = regex.compile(rb"[\x20\x09-\x0D]")
 _BLOCK_BYTES = 4 << 20
@@ -67,6 +67,14 @@ def fingerprint(data: bytes) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of a set of hashes (uint64); zero without any."""
+    ones, octets = np.zeros(BITS, np.int64), hashes.astype("<u8").view(np.uint8).reshape(-1, BITS // 8)
+    for k in range(0, len(octets), 65_536):
+        ones += np.unpackbits(octets[k : k + 65_536], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprints(docs: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and fp (the 64 bits as a bigint) of each row's ``text``; null counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,6 +8,7 @@ import brute
 import corpus_pipeline
 from conftest import SF
 from depscope.llm import jaccard
+from depscope.session import store
 
 
 def shingle_set(text):
@@ -83,6 +84,33 @@ def test_hot_shingles_are_dealt(llm, monkeypatch):
     assert sorted(r.doc_id for r in jaccard.drop_near_duplicates(df).collect()) == kept_ids(rows)
 
 
+def test_fingerprints_link_close_texts(llm):
+    """Of copies with few edits most meet by their fingerprints; what these link is not compared again."""
+    rng = random.Random(5)
+    rows = [(0, ""), (1, "far from all others, and alone")]
+    for base in range(5):
+        words = [f"v{rng.randrange(4000)}" for _ in range(400)]
+        rows += [(10 + 10 * base + k, " ".join(words[:40 * k] + [f"n{k}"] + words[40 * k + 1:])) for k in range(8)]
+    keyed = store(llm.createDataFrame([(d, d, t) for d, t in rows], "row long, doc_id long, text string").repartition(3), "keyed")
+    none = np.zeros(0, np.uint64)
+    prints = store(jaccard._marked(keyed, none, none.view(np.int64)).where("n > 0").selectExpr("row as node", "fp"), "prints")
+    links = jaccard._by_fingerprint(prints, keyed)
+    pairs = {(r.u, r.v) for r in links.collect()}
+    assert len(pairs) > 20 and all(u > v > 1 and u // 10 == v // 10 for u, v in pairs)
+    some = max(pairs)
+    asked = llm.createDataFrame([some, some[::-1], (20, 10), (1, 0)], "u long, v long")
+    assert {(r.u, r.v) for r in jaccard._apart(asked, links).collect()} == {(20, 10), (1, 0)}
+
+
+def test_fingerprint_of_a_set():
+    from depscope.llm import simhash
+    text = b"one two three four five six"
+    own = jaccard.shingles(text)
+    bits = [2 * sum(int(h) >> k & 1 for h in own) > len(own) for k in range(64)]
+    assert simhash.majority(own) == sum(1 << k for k, b in enumerate(bits) if b)
+    assert simhash.majority(own[:0]) == 0 and simhash.majority(own[:1]) == int(own[0])
+
+
 def test_pivots_in_any_batches():
     rng = np.random.default_rng(0)
     rows = np.column_stack([np.sort(rng.integers(0, 40, 200)), np.full(200, -1), np.arange(200), np.arange(200) * 7])
