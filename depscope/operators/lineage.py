@@ -6,13 +6,13 @@ from collections.abc import Callable
 from functools import reduce
 from math import isqrt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import functions as fn
 from ..session import store
 from .dedupe import last_per_key
 from .objects import ENTITY_STRUCT
-from .skew import PAIRS, product_join, short_or_not, skew_join
+from .skew import PAIRS, product_join, short_or_not, skew_join, tasks_for
 
 LINK_COLUMNS = [
     "payload_id", "proc", "proc_pos", "role", "rel_pos", "guid", "object_type", "own_name",
@@ -23,8 +23,6 @@ IN_ROW = 4096
 PAIRED_IN_ROW = 128
 #: Links of a payload up to which its pairs are made in one place: at most PAIRS of them.
 PAYLOAD_LINKS = 2 * isqrt(PAIRS)
-#: Links that a task gets to make pairs of, if there are more than the usual tasks take.
-TASK_LINKS = 400_000
 
 
 def is_process(type_name: Column | str) -> Column:
@@ -114,13 +112,14 @@ def name_map(entities: DataFrame) -> DataFrame:
     return last_per_key(named, ["guid"], ["pos"]).select("guid", "qualified_name")
 
 
-def with_names(links: DataFrame, names: DataFrame) -> DataFrame:
-    """Add ``name``: the exported entity's, else the payload's own.
+def with_names(links: DataFrame, names: DataFrame, own: str = "own_name", distinct: bool = False) -> DataFrame:
+    """Add ``name``: the exported entity's, else the payload's own, in column ``own``.
 
-    Done on the links, which grow with the input, and not on the pairs made of them.
+    Done on the links, which grow with the input, and not on the pairs made of them. ``distinct``: equal
+    links come out once. The name follows from the link, so names need not move to tell them apart.
     """
-    joined = skew_join(links, names, ["guid"], "left")
-    return joined.withColumn("name", F.coalesce("qualified_name", "own_name")).drop("qualified_name")
+    joined = skew_join(links, names, ["guid"], "left", distinct=distinct)
+    return joined.withColumn("name", F.coalesce("qualified_name", own)).drop("qualified_name")
 
 
 def _sides(links: DataFrame) -> list[DataFrame]:
@@ -136,11 +135,6 @@ def _sides(links: DataFrame) -> list[DataFrame]:
     return [side("in", "src"), side("out", "dst")]
 
 
-def _tasks(spark: SparkSession, links: int | None) -> int:
-    """The usual number, or more where a task would get more than ``TASK_LINKS``."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(links or 0) // TASK_LINKS))
-
-
 def _by_payload(links: DataFrame, of_each: Callable[[DataFrame], DataFrame], distinct: bool = False) -> DataFrame:
     """``of_each`` applied to the pairs of the links' processes, whole payloads at a time.
 
@@ -154,7 +148,7 @@ def _by_payload(links: DataFrame, of_each: Callable[[DataFrame], DataFrame], dis
     counts = store(links.groupBy("payload_id").agg(F.count("*").alias("n")).groupBy((F.col("n") > PAYLOAD_LINKS).alias("crowded")).agg(
         F.sum("n").alias("n")), "link_counts").collect()  # two rows
     n = {r.crowded: r.n for r in counts}
-    tasks = _tasks(spark, n.get(False))
+    tasks = tasks_for(spark, n.get(False))
 
     def near(rows: DataFrame) -> DataFrame:
         left, right = (side.repartition(tasks, "payload_id") for side in _sides(rows))
@@ -196,13 +190,16 @@ def both_directions(pairs: DataFrame) -> DataFrame:
     return pairs.select(*other, F.inline(rows))
 
 
-def distinct_links(links: DataFrame) -> DataFrame:
+def distinct_links(links: DataFrame, rows: int | None = None) -> DataFrame:
     """One link per payload, process, side and entity; fewer links make fewer pairs.
 
     Everything but the position depends on the entity, so it can be part of the key and
-    the aggregate stays a hash aggregate.
+    the aggregate stays a hash aggregate. ``rows``: about how many links there are, if that is
+    known; tasks then get so few of them that the aggregate needs no disk.
     """
     keys = [c for c in links.columns if c != "rel_pos"]
+    if rows is not None:
+        links = links.repartition(tasks_for(links.sparkSession, rows), *keys)
     return links.groupBy(*keys).agg(F.min("rel_pos").alias("rel_pos"))
 
 
@@ -239,7 +236,7 @@ def _distinct_in_row(found: Column) -> Column:
 
 def _named_pairs(near: DataFrame, names: DataFrame) -> DataFrame:
     """Pairs of named links at one process, from payloads (payload_id, found)."""
-    tasks = _tasks(near.sparkSession, near.agg(F.sum(F.size("found")).alias("n")).first().n)
+    tasks = tasks_for(near.sparkSession, near.agg(F.sum(F.size("found")).alias("n")).first().n)
     guids = near.select("payload_id", F.explode(F.array_distinct(F.transform("found", lambda x: x["guid"]))).alias("guid"))
     known = skew_join(guids, names, ["guid"]).repartition(tasks, "payload_id").groupBy("payload_id").agg(
         F.map_from_entries(F.collect_list(F.struct("guid", "qualified_name"))).alias("names"))

@@ -8,7 +8,7 @@ be stored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..session import store
@@ -16,6 +16,8 @@ from ..session import store
 #: Rows of one key, or pairs, that one task makes.
 KEY_ROWS = 1_000_000
 PAIRS = 1_000_000
+#: Rows that a task gets to tell apart in memory, if there are more than the usual tasks take.
+TASK_ROWS = 400_000
 #: A table of split keys is broadcast up to so many rows.
 BROADCAST_KEYS = 100_000
 
@@ -40,27 +42,38 @@ def _same_types(left: DataFrame, right: DataFrame, on: list[str]) -> None:
         raise TypeError(f"key types differ, so their hashes would: {on}")
 
 
+def tasks_for(spark: SparkSession, rows: int | None) -> int:
+    """The usual number of tasks, or more where one would get more than ``TASK_ROWS``."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(rows or 0) // TASK_ROWS))
+
+
 def _index(parts: str) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1))
 
 
 def skew_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", key_rows: int = KEY_ROWS
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", key_rows: int = KEY_ROWS, distinct: bool = False
 ) -> DataFrame:
     """Join where a key may have very many rows in ``left`` and few in ``right``.
 
     A key with more than ``key_rows`` left rows is dealt to parts of that size, and its
     matches on the right are repeated for each part. All other rows move once. Without such
-    keys it is a plain join. ``how``: inner, left, left_semi or left_anti.
+    keys it is a plain join. ``how``: inner, left, left_semi or left_anti. ``distinct``: left rows
+    that come several times are joined once; equal rows meet at the place of the join, so this
+    moves nothing more, in tasks of about ``TASK_ROWS`` rows, which need no disk.
     """
     _same_types(left, right, on)
     counts = left.groupBy(*on).agg(F.count("*").alias("_rows")).where(F.col("_rows") > key_rows)
     parts, any_split = short_or_not(store(
         counts.select(*on, F.ceil(F.col("_rows") / key_rows).alias("_parts")), "key_parts"))
+    tasks = tasks_for(left.sparkSession, left.count()) if distinct else 0
     if not any_split:
-        return left.join(right, on, how)
+        return (left.repartition(tasks, *on).distinct() if distinct else left).join(right, on, how)
     one = F.coalesce("_parts", F.lit(1))
-    salted = left.join(parts, on, "left").withColumn("_part", F.pmod(_spread(left), one)).drop("_parts")
+    spread = F.xxhash64(*left.columns) if distinct else _spread(left)
+    salted = left.join(parts, on, "left").withColumn("_part", F.pmod(spread, one)).drop("_parts")
+    if distinct:
+        salted = salted.repartition(tasks, *on, "_part").distinct()
     copies = right.join(parts, on, "left").withColumn("_parts", one).withColumn("_part", _index("_parts")).drop("_parts")
     return salted.join(copies, [*on, "_part"], how).drop("_part")
 

@@ -227,7 +227,8 @@ class Inputs:
     def links(self, view: str = "links") -> DataFrame:
         """Links as a first job leaves them: distinct and stored."""
         def write(path):
-            distinct_links(self.view(view)).write.parquet(path)
+            rows = 2 * self.table("lineitem").count() + self.table("orders").count()  # those of the views, at most
+            distinct_links(self.view(view), rows).write.parquet(path)
         found = self.spark.read.parquet(self.landed(view, write))
         return found.withColumn("own_name", F.col("guid")).withColumn("name", F.col("guid"))
 

@@ -328,6 +328,20 @@ def test_skew_join(spark, how, copies):
     assert sorted(map(repr, joined.collect())) == sorted(map(repr, plain.collect()))
 
 
+@pytest.mark.parametrize("key_rows", [100, 10**6])
+def test_skew_join_of_distinct_rows(spark, monkeypatch, key_rows):
+    """Equal rows are joined once, without a shuffle of their own, in tasks of a bounded number of rows."""
+    from depscope.operators import skew
+    monkeypatch.setattr(skew, "TASK_ROWS", 500)
+    left = spark.range(6000).repartition(4).select(
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 50 != 1, F.col("id") % 900).alias("k"), (F.col("id") % 1800).alias("v"))
+    right = spark.range(0, 900, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    joined = skew_join(left, right, ["k"], "left", key_rows=key_rows, distinct=True)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert ", 12), REPARTITION_BY_NUM" in plan and plan.count("HashAggregate") <= 2
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, left.distinct().join(right, ["k"], "left").collect()))
+
+
 def test_join_without_hot_keys_is_plain(spark):
     left = spark.range(5000).withColumnRenamed("id", "k")
     assert "_part" not in skew_join(left, left, ["k"])._jdf.queryExecution().optimizedPlan().toString()
