@@ -11,8 +11,10 @@ the sample decides how many candidates there are, never which pairs are found. T
 shuffled once: each group of sets that share a shingle comes to one task in a row, sorted, and
 streams through it; groups of one leave nothing. All of a group are compared with its pivot, the
 set that comes first in an order of all sets, so that groups of the same texts share their pivot.
-Groups that this does not connect get two pivots more; where they stay in parts, those outside
-the largest one are compared with all others there. Each candidate is verified on the whole sets before components are formed.
+Groups that this does not connect get three pivots more; where they stay in parts, those outside
+the largest one are compared with others there: two sets only at the first shingle that they share, where
+neither may have more rare ones before it than two similar sets of their sizes have, and in large groups by
+classes of size. Each candidate is verified on the whole sets before components are formed.
 """
 
 from __future__ import annotations
@@ -40,6 +42,9 @@ SAMPLE_SEEN = 4
 SAMPLE_KEPT = 50_000
 #: A shingle that the sample expects in more texts than this is dealt to several groups.
 HOT_ROWS = 100_000
+#: Groups of more rows that stay in parts are compared by classes of size, so many for sizes in the ratio of a link.
+DIRECT_ROWS = 64
+CLASSES = 4
 #: Row numbers are broadcast up to so many.
 BROADCAST_ROWS = 1_000_000
 #: Texts and sets come to Python in batches of about so many bytes, or one longer row.
@@ -162,6 +167,44 @@ def _possible(a: str, b: str) -> Column:
     return (F.least(n, m) * 10 >= F.greatest(n, m) * TENTHS) & (most * (10 + TENTHS) >= (n + m) * TENTHS)
 
 
+def _first_shared(a: str, b: str) -> Column:
+    """Whether two sets can be similar if the shingle at these places is the first that they share.
+
+    All shared ones stand there or behind, in both. Similar sets meet at their first one.
+    """
+    n, m, i, j = (F.col(c) for c in (f"{a}n", f"{b}n", f"{a}pos", f"{b}pos"))
+    return (F.least(n, m) * 10 >= F.greatest(n, m) * TENTHS) & (F.least(n - i, m - j) * (10 + TENTHS) >= (n + m) * TENTHS)
+
+
+def _by_size(split: DataFrame) -> DataFrame:
+    """Rows of ``split`` with the class of their own size (own) and, one row for each, of the sizes
+    (other) that a similar set can have whose first shared shingle is this one.
+
+    All rows of a group of at most ``DIRECT_ROWS`` have class 0, and meet each other.
+    """
+    def of(size: Column) -> Column:  # never falls as sizes grow
+        return F.floor(F.log(size) * (CLASSES / np.log(10 / TENTHS))).cast("int")
+
+    n, large = F.col("n").cast("bigint"), F.col("size") > DIRECT_ROWS
+    least = F.floor((n * TENTHS + 9) / 10)
+    most = F.floor(F.least(n * 10, (n - F.col("pos")) * (10 + TENTHS) - n * TENTHS) / TENTHS)
+    others = F.when(large, F.sequence(of(least), of(F.greatest(least, most)))).otherwise(F.array(F.lit(0)))
+    return split.withColumn("own", F.when(large, of(n)).otherwise(0)).withColumn("other", F.explode(others))
+
+
+def _across(split: DataFrame) -> DataFrame:
+    """u, v: pairs of nodes in different components of a group (see ``_split``) that can be similar.
+
+    Similar ones are among them, whichever groups they share. One of the two is outside the largest component.
+    """
+    rows = _by_size(split).select("h", "node", "n", "pos", "root", "most", "own", "other")
+    loose = rows.where("root <> most").select("h", F.col("own").alias("other"), F.col("other").alias("own"),
+                                              *(F.col(c).alias(f"l_{c}") for c in ("node", "n", "pos", "root")))
+    rest = rows.join(loose, ["h", "own", "other"]).where(
+        (F.col("root") != F.col("l_root")) & ((F.col("root") == F.col("most")) | (F.col("node") < F.col("l_node"))) & _first_shared("", "l_"))
+    return rest.select(F.greatest("node", "l_node").alias("u"), F.least("node", "l_node").alias("v"))
+
+
 def _apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """The ``pairs`` (u, v) whose ends the ``known`` links leave in different components."""
     roots = store(components(known), "roots")
@@ -284,32 +327,32 @@ def links(members: DataFrame, rows: DataFrame, hot: dict[int, int], known: DataF
 
     split = _split(members.select("h", "node", "n", "pos"), found, members)
 
-    # groups that are still in parts get two pivots more: the set that is in most groups, as the
-    # original of many edited copies is, and one that differs from group to group
+    # groups that are still in parts get three pivots more: the set that is in most groups, one that
+    # differs from group to group, and the one with the fewest shingles before the shared one, as the
+    # original of many edited copies is
     degree = split.groupBy("node").agg(F.count("*").alias("degree"))
     own = F.struct(*(F.col(c).alias(f"p_{c}") for c in ("node", "n", "pos", "root")))
     tops = split.join(degree, "node").groupBy("h").agg(F.min_by(own, F.struct(-F.col("degree"), F.xxhash64("node"))).alias("hub"),
-                                                       F.min_by(own, F.xxhash64("h", "node")).alias("any"))
-    stars = split.join(tops.select("h", F.explode(F.array("hub", "any")).alias("p")), "h").select("node", "n", "pos", "root", "p.*")
+                                                       F.min_by(own, F.xxhash64("h", "node")).alias("any"),
+                                                       F.min_by(own, F.struct("pos", F.xxhash64("node"))).alias("plain"))
+    stars = split.join(tops.select("h", F.explode(F.array_distinct(F.array("hub", "any", "plain"))).alias("p")), "h").select("node", "n", "pos", "root", "p.*")
     stars = stars.where((F.col("root") != F.col("p_root")) & _possible("", "p_"))
     found = found.unionByName(_verified(stars.select(F.greatest("node", "p_node").alias("u"), F.least("node", "p_node").alias("v")), rows))
     split = _split(split.select("h", "node", "n", "pos"), found, split)
 
-    loose = split.where("root <> most").select("h", *(F.col(c).alias(f"l_{c}") for c in ("node", "n", "pos", "root")))
-    rest = split.join(loose, "h").where(
-        (F.col("root") != F.col("l_root")) & ((F.col("root") == F.col("most")) | (F.col("node") < F.col("l_node"))) & _possible("", "l_"))
-    more = _verified(rest.select(F.greatest("node", "l_node").alias("u"), F.least("node", "l_node").alias("v")), rows)
+    more = _verified(_across(split), rows)
     discard(split)
     return found.unionByName(more)
 
 
 def _split(members: DataFrame, found: DataFrame, before: DataFrame) -> DataFrame:
-    """h, node, n, pos, root, most (the largest component) of those groups that the links leave
-    in several components. Stored; the table ``before`` that ``members`` reads is removed."""
+    """h, node, n, pos, root, size (rows of the group), most (its largest component) of those groups that
+    the links leave in several components. Stored; the table ``before`` that ``members`` reads is removed."""
     rooted = store(members.join(store(components(found), "roots"), "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     discard(before)
     sizes = rooted.groupBy("h", "root").agg(F.count("*").alias("k"))
-    most = sizes.groupBy("h").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("k", "root")).alias("most")).where("roots > 1").select("h", "most")
+    most = sizes.groupBy("h").agg(F.count("*").alias("roots"), F.sum("k").alias("size"), F.max_by("root", F.struct("k", "root")).alias("most"))
+    most = most.where("roots > 1").select("h", "size", "most")
     split = store(rooted.join(most, "h"), "split")
     discard(rooted)
     return split

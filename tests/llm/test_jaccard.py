@@ -134,3 +134,46 @@ def test_block_edges_of_long_texts(monkeypatch):
     whole = jaccard.shingles(text)
     monkeypatch.setattr(simhash, "_BLOCK_BYTES", 100)
     assert len(whole) == 57 and (jaccard.shingles(text) == whole).all()
+
+
+def test_edited_copies_are_not_compared_all_with_all(llm, monkeypatch):
+    """Copies with one edit are linked to the original only, those with two to nothing; all share most shingles."""
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(60)]
+    rows, n = [], 240
+    for k in range(n):
+        copy = list(words)
+        for at in rng.sample(range(5, 55, 5), 1 + k % 2):
+            copy[at] = f"n{k}at{at}"
+        rows.append((k, " ".join(copy)))
+    rows.append((n, " ".join(words)))
+    compared, verified = [], jaccard._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+    for name, value in (("SAMPLE", 1), ("SAMPLE_SEEN", 5), ("_verified", counted)):
+        monkeypatch.setattr(jaccard, name, value)
+    df = llm.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(r.doc_id for r in jaccard.drop_near_duplicates(df).collect()) == kept_ids(rows)
+    assert compared[-1] < 4 * n  # the rest, which was nearly all pairs
+
+
+def test_pairs_across_components_miss_none(llm, monkeypatch):
+    """All sets are components of their own; sizes differ, so that similar ones are of several classes."""
+    rng = random.Random(4)
+    sets = []
+    for family in range(6):
+        base = [rng.randrange(1 << 40) for _ in range(60)]
+        sets += [sorted(set(rng.sample(base, rng.randrange(40, 61)) + [rng.randrange(1 << 40) for _ in range(rng.randrange(5))])) for _ in range(60)]
+    near = {(a, b) for a in range(len(sets)) for b in range(a) if len(set(sets[a]) & set(sets[b])) * 18 >= 8 * (len(sets[a]) + len(sets[b]))}
+    none = np.zeros(0, np.uint64)
+    rows = [(int(h), k, len(s), p, k) for k, s in enumerate(sets) for p, h in enumerate(jaccard.prefix(np.array(s, np.uint64), none, none))]
+    size, most = {}, {}
+    for h, k, *_ in rows:
+        size[h], most[h] = size.get(h, 0) + 1, k
+    split = llm.createDataFrame([(*r, size[r[0]], most[r[0]]) for r in rows], "h long, node long, n int, pos int, root long, size long, most long")
+    for limit in (0, 20, 10**6):
+        monkeypatch.setattr(jaccard, "DIRECT_ROWS", limit)
+        pairs = {(r.u, r.v) for r in jaccard._across(split).collect()}
+        assert len(near) > 1000 and near <= pairs, limit
