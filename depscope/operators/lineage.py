@@ -12,7 +12,7 @@ from .. import functions as fn
 from ..session import store
 from .dedupe import last_per_key
 from .objects import ENTITY_STRUCT
-from .skew import PAIRS, product_join, short_or_not, skew_join, tasks_for
+from .skew import PAIRS, product_join, short_or_not, sift, skew_join, tasks_for
 
 LINK_COLUMNS = [
     "payload_id", "proc", "proc_pos", "role", "rel_pos", "guid", "object_type", "own_name",
@@ -23,6 +23,8 @@ IN_ROW = 4096
 PAIRED_IN_ROW = 128
 #: Links of a payload up to which its pairs are made in one place: at most PAIRS of them.
 PAYLOAD_LINKS = 2 * isqrt(PAIRS)
+#: Tasks that make the edges of one bucket, at most.
+BUCKET_PARTS = 1000
 
 
 def is_process(type_name: Column | str) -> Column:
@@ -135,34 +137,50 @@ def _sides(links: DataFrame) -> list[DataFrame]:
     return [side("in", "src"), side("out", "dst")]
 
 
-def _by_payload(links: DataFrame, of_each: Callable[[DataFrame], DataFrame], distinct: bool = False) -> DataFrame:
+def _work(links: DataFrame) -> tuple[dict[bool, int], float]:
+    """Links of ordinary and of crowded payloads, and the pairs that all make at most."""
+    sizes = links.groupBy("payload_id").agg(F.count("*").alias("n"), F.count_if(F.col("role") == "in").alias("ins"))
+    work = sizes.groupBy((F.col("n") > PAYLOAD_LINKS).alias("crowded")).agg(
+        F.sum("n").alias("n"), F.sum(F.col("ins").cast("double") * (F.col("n") - F.col("ins"))).alias("pairs"))
+    rows = store(work, "link_counts").collect()  # two rows
+    return {r.crowded: r.n for r in rows}, sum(r.pairs for r in rows)
+
+
+def _by_payload(
+    links: DataFrame, of_each: Callable[[DataFrame], DataFrame], distinct: bool = False, n: dict[bool, int] | None = None, placed: bool = False,
+) -> DataFrame:
     """``of_each`` applied to the pairs of the links' processes, whole payloads at a time.
 
     Links move once, to a place by their payload, where all that is grouped by payload follows
     without another shuffle; ``PAYLOAD_LINKS`` of one payload make at most ``skew.PAIRS`` pairs. ``distinct``: links
-    that come several times make their pairs once.
+    that come several times make their pairs once. ``n``: what ``_work`` counted. ``placed``: pairs have their
+    place in ``_place``, and what is grouped by it follows in the same tasks.
     Payloads with more are counted first, and the pairs of their processes made by ``product_join``.
     """
     spark = links.sparkSession
     links = links.where(F.col("payload_id").isNotNull())
-    counts = store(links.groupBy("payload_id").agg(F.count("*").alias("n")).groupBy((F.col("n") > PAYLOAD_LINKS).alias("crowded")).agg(
-        F.sum("n").alias("n")), "link_counts").collect()  # two rows
-    n = {r.crowded: r.n for r in counts}
+    n = n or _work(links)[0]
     tasks = tasks_for(spark, n.get(False))
+    place = F.pmod(F.xxhash64("payload_id"), F.lit(tasks)).cast("int")
 
     def near(rows: DataFrame) -> DataFrame:
-        left, right = (side.repartition(tasks, "payload_id") for side in _sides(rows))
+        if placed:
+            left, right = (side.withColumn("_place", place).repartitionById(tasks, "_place") for side in _sides(rows))
+        else:
+            left, right = (side.repartition(tasks, "payload_id") for side in _sides(rows))
         if distinct:
             left, right = left.distinct(), right.distinct()
-        return of_each(left.join(right, ["payload_id", "proc"]).filter(F.col("src_guid") != F.col("dst_guid")))
+        return of_each(left.join(right, ["_place"] * placed + ["payload_id", "proc"]).filter(F.col("src_guid") != F.col("dst_guid")))
 
     if True not in n:
         return near(links)
     crowded = links.groupBy("payload_id").agg(F.count("*").alias("n")).where(F.col("n") > PAYLOAD_LINKS).select("payload_id")
     crowded, _ = short_or_not(store(crowded, "crowded"))
     many = links.join(crowded, "payload_id", "left_semi")
-    far = product_join(*_sides(store(many.distinct(), "many_links") if distinct else many), ["payload_id", "proc"])
-    return near(links.join(crowded, "payload_id", "left_anti")).unionByName(of_each(far.filter(F.col("src_guid") != F.col("dst_guid"))))
+    far = product_join(*_sides(store(many.distinct(), "many_links") if distinct else many), ["payload_id", "proc"]).filter(F.col("src_guid") != F.col("dst_guid"))
+    if placed:
+        far = far.withColumn("_place", place)
+    return near(links.join(crowded, "payload_id", "left_anti")).unionByName(of_each(far))
 
 
 def two_hop(links: DataFrame) -> DataFrame:
@@ -306,21 +324,44 @@ def vertices(entities: DataFrame) -> DataFrame:
     return last_per_key(nodes, ["guid"], ["pos"]).drop("pos")
 
 
-def edges_by_guid(links: DataFrame) -> DataFrame:
-    """Distinct (src, dst, rel) between guids, over all payloads."""
-    slim = links.select("payload_id", "proc", "role", "guid")
-    pairs = _by_payload(slim, lambda pairs: pairs.select("src_guid", "dst_guid"), distinct=True).distinct()
+def pair_bucket(a: str, b: str, buckets: int) -> Column:
+    """Bucket of an edge, the same for both of its directions; edges of a hub lie in all buckets."""
+    return F.pmod(F.xxhash64(F.least(a, b), F.greatest(a, b)), F.lit(buckets)).cast("int")
+
+
+def edges_by_guid(links: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Distinct (src, dst, rel) between guids, over all payloads.
+
+    ``buckets``: each task's edges lie in one ``pair_bucket``, in tasks of about ``skew.PAIRS`` pairs, so that
+    tables by bucket are written as they lie, in an order in which they are small. Pairs then are told apart where they are made first, and move once.
+    """
+    slim = links.select("payload_id", "proc", "role", "guid").where(F.col("payload_id").isNotNull())
+    n, most = _work(slim)
+    if buckets is None:
+        pairs = _by_payload(slim, lambda pairs: pairs.select("src_guid", "dst_guid"), distinct=True, n=n).distinct()
+    else:
+        made = _by_payload(slim, lambda pairs: pairs.select("_place", "src_guid", "dst_guid").distinct(), distinct=True, n=n, placed=True)
+        parts = max(1, min(-(-int(most) // (buckets * PAIRS)), BUCKET_PARTS))
+        at = pair_bucket("src_guid", "dst_guid", buckets) * parts + F.pmod(F.hash("src_guid", "dst_guid"), F.lit(parts))
+        pairs = made.drop("_place").withColumn("_at", at).repartitionById(buckets * parts, "_at").distinct().drop("_at").sortWithinPartitions("src_guid")
     return both_directions(pairs).select(
         F.col("from_guid").alias("src"), F.col("to_guid").alias("dst"), "rel")
 
 
 def connected_links(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links whose entity is a known node.
+    """Links whose entity is a known node. Runs jobs, over links that should be stored.
 
     An edge has both ends in the graph exactly if both of its links do. Links grow with
-    the input and edges with its square, so the test belongs here.
+    the input and edges with its square, so the test belongs here. Most entities are known: only GUIDs
+    move to find those that are not, and links stay where they are but for those that a bitmap of them lets through.
     """
-    return skew_join(links, nodes.select("guid").distinct(), ["guid"], "left_semi")
+    guids = nodes.select("guid").distinct()
+    unknown = store(links.select("guid").distinct().join(guids, "guid", "left_anti"), "unknown_guids")
+    surely, perhaps = sift(links, unknown, ["guid"])
+    if surely is None:
+        return skew_join(links, guids, ["guid"], "left_semi").select(*links.columns)
+    # stored, since the optimizer would test all links before it sifts them
+    return surely.unionByName(skew_join(store(perhaps, "links_to_test"), guids, ["guid"], "left_semi"))
 
 
 def graph(payloads: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ KEY_ROWS = 1_000_000
 PAIRS = 1_000_000
 #: Rows that a task gets to tell apart in memory, if there are more than the usual tasks take.
 TASK_ROWS = 400_000
+#: Keys up to which ``sift`` broadcasts a bitmap of them, a byte for each.
+SIFTED_KEYS = 50_000_000
 #: A table of split keys is broadcast up to so many rows.
 BROADCAST_KEYS = 100_000
 
@@ -109,3 +111,32 @@ def product_join(left: DataFrame, right: DataFrame, on: list[str], pairs: int =
 
     cell = ["_rows_at", "_columns_at"]
     return placed(left, "_rows", "_columns").join(placed(right, "_columns", "_rows"), [*on, *cell]).drop(*cell)
+
+
+def sift(df: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of ``df`` that match none of the (stored) keys for sure, and all others: those that do, and about 5 % more.
+
+    Found where they lie: a bitmap of the keys is broadcast, two bits for each, in slots of 32,768 bits for
+    4,096 keys. If there are too many for that, no row is sure (None).
+    """
+    _same_types(df, keys, on)
+    n = keys.count()
+    if n > SIFTED_KEYS:
+        return None, df
+    slots = n // 4096 + 1
+    slot, h = F.pmod("_hash", F.lit(slots)), F.col("_hash")
+    bits = [F.shiftright(h, k).bitwiseAND(F.lit(32767)) for k in (49, 34)]
+    inside = F.expr("shiftleft(1L, cast(_bit & 63 as int))")
+    words = keys.select(F.xxhash64(*on).alias("_hash")).select(h, slot.alias("_slot")).repartition("_slot").select(
+        "_slot", F.explode(F.array(*bits)).alias("_bit")).select("_slot", F.shiftright("_bit", 6).cast("int").alias("_word"), inside.alias("_mask"))
+    # a slot's 512 words as a list; rows of zero words fill it
+    blank = df.sparkSession.range(slots).select(F.col("id").alias("_slot")).repartition("_slot").select(
+        "_slot", F.explode(F.sequence(F.lit(0), F.lit(511))).alias("_word"), F.lit(0).cast("bigint").alias("_mask"))
+    words = words.unionByName(blank).groupBy("_slot", "_word").agg(F.bit_or("_mask").alias("_mask"))
+    lists = words.groupBy("_slot").agg(F.array_sort(F.collect_list(F.struct("_word", "_mask"))).alias("_list")).select(
+        "_slot", F.col("_list._mask").alias("_words"))
+    tested = df.withColumn("_hash", F.xxhash64(*on)).withColumn("_slot", slot).join(F.broadcast(lists), "_slot")
+    held = F.lit(True)
+    for bit in bits:
+        held &= F.getbit(F.get("_words", F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")) == 1
+    return tested.where(~held).select(*df.columns), tested.where(held).select(*df.columns)
