@@ -12,6 +12,7 @@ from ..model import (
     ACCESS_COLUMNS, EVENT_COLUMNS, LINEAGE_COLUMNS, OBJECT_COLUMNS, SUMMARY_COLUMNS, SUMMARY_KEYS,
 )
 from ..operators import lineage
+from ..operators.skew import sift
 from ..session import store
 
 # Minimal quoting with doubled quotes, and values kept as they are.
@@ -102,7 +103,8 @@ def write_guids_by_type(guids: DataFrame, path: str, type_column: str = "typeNam
 
 #: Buckets of a new graph's tables, unless named; a bucket should fit a few tasks.
 GRAPH_BUCKETS = 64
-_VERTEX_KEY, _EDGE_KEY = ["guid"], ["src"]
+#: Folders of one bucket's edges, one for each load that added some, up to which a load only adds another.
+EDGE_FOLDERS = 16
 
 
 def _path(spark: SparkSession, path: str):
@@ -110,8 +112,15 @@ def _path(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _bucket(key: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+def _vertex_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("guid"), F.lit(buckets)).cast("int")
+
+
+def _edge_bucket(content: dict) -> Column:
+    """By both ends; graphs stored before that have their edges by source."""
+    if content.get("edges_by") == "pair":
+        return lineage.pair_bucket("src", "dst", content["buckets"])
+    return F.pmod(F.xxhash64("src"), F.lit(content["buckets"])).cast("int")
 
 
 def upsert_vertices(known: DataFrame, new: DataFrame) -> DataFrame:
@@ -120,7 +129,7 @@ def upsert_vertices(known: DataFrame, new: DataFrame) -> DataFrame:
 
 
 class _Manifest:
-    """Which folder holds each bucket of the stored graph.
+    """Which folders hold each bucket of the stored graph: one of vertices, and one or several of edges.
 
     A manifest is one small JSON file per load, numbered; the highest number is the graph. Bucket
     folders are never changed once a manifest names them. A load writes new folders for the
@@ -140,7 +149,8 @@ class _Manifest:
 
     def folders(self, table: str, buckets: list[int] | None = None) -> list[str]:
         held = self.content[table]
-        return [f"{self.path}/{held[str(b)]}" for b in (held if buckets is None else buckets) if str(b) in held]
+        found = [held[str(b)] for b in (held if buckets is None else buckets) if str(b) in held]
+        return [f"{self.path}/{f}" for x in found for f in ([x] if isinstance(x, str) else x)]
 
     def commit(self, content: dict) -> None:
         number = self.number + 1
@@ -162,23 +172,29 @@ def _stored(spark: SparkSession, folders: list[str], schema) -> DataFrame | None
     return spark.read.schema(schema).parquet(*folders) if folders else None
 
 
-def _write_buckets(df: DataFrame, key: list[str], buckets: int, path: str, load: str, table: str) -> dict[str, str]:
-    """Write a table's rows in one folder per bucket; returns the folders by bucket."""
-    name = f"{table}/load_{load}"
-    df.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{path}/{name}")
+def _write_buckets(df: DataFrame, bucket: Column, path: str, load: str, table: str, order: list[str], dealt: bool = False) -> dict[str, str]:
+    """Write a table's rows in one folder per bucket; returns the folders by bucket.
+
+    ``dealt``: the tasks have few buckets each as it is, so rows stay where they are, in the order they have.
+    """
+    name, rows = f"{table}/load_{load}", df.withColumn("bucket", bucket)
+    if not dealt:
+        rows = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *order)  # files are smallest in order
+    rows.write.option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/{name}")
     place, fs = _path(df.sparkSession, f"{path}/{name}")
     written = [f.getPath().getName() for f in fs.listStatus(place) if f.isDirectory()]
     return {n.split("=")[1]: f"{name}/{n}" for n in written if n.startswith("bucket=")}
 
 
-def write_graph(nodes: DataFrame, edges: DataFrame, path: str, buckets: int = GRAPH_BUCKETS) -> None:
+def write_graph(nodes: DataFrame, edges: DataFrame, path: str, buckets: int = GRAPH_BUCKETS, dealt: bool = False) -> None:
     """A new graph of these tables in the place of the stored one: vertices by bucket of their
-    guid, edges by bucket of their source. Tables may be read from the graph they replace."""
+    guid, edges by bucket of both ends. Tables may be read from the graph they replace. ``dealt``: edges
+    come by bucket, as ``lineage.edges_by_guid`` makes them for ``buckets``, and are not shuffled."""
     manifest, load = _Manifest(nodes.sparkSession, path), uuid.uuid4().hex
-    manifest.commit({
-        "buckets": buckets, "vertex_schema": nodes.schema.json(),
-        "vertices": _write_buckets(nodes, _VERTEX_KEY, buckets, manifest.path, load, "vertices"),
-        "edges": _write_buckets(edges.select("src", "dst", "rel"), _EDGE_KEY, buckets, manifest.path, load, "edges")})
+    content = {"buckets": buckets, "edges_by": "pair", "vertex_schema": nodes.schema.json()}
+    content["vertices"] = _write_buckets(nodes, _vertex_bucket(buckets), manifest.path, load, "vertices", ["guid"])
+    content["edges"] = _write_buckets(edges.select("src", "dst", "rel"), _edge_bucket(content), manifest.path, load, "edges", ["src", "dst", "rel"], dealt)
+    manifest.commit(content)
 
 
 def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
@@ -192,18 +208,19 @@ def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] |
     return tuple(e if f is None else f for e, f in zip(empty, found, strict=True))
 
 
-def _touched(df: DataFrame, key: list[str], buckets: int) -> list[int]:
+def _touched(df: DataFrame, bucket: Column) -> list[int]:
     """Buckets that have rows: as many numbers as there are buckets, at most."""
-    return sorted(r.b for r in df.select(_bucket(key, buckets).alias("b")).distinct().collect())
+    return sorted(r.b for r in df.select(bucket.alias("b")).distinct().collect())
 
 
 def upsert_graph(nodes: DataFrame, edges: DataFrame, path: str, buckets: int = GRAPH_BUCKETS) -> None:
     """Load nodes and edges into the stored graph.
 
     New records replace those of their guid. Of the edges, those are added that the graph lacks
-    and whose both ends are nodes, known or new. Only buckets that the load touches are read,
-    merged and written; the others stay where they are. A load that changes nothing writes
-    nothing. Give one record a guid; the load is stored first, as it is read several times.
+    and whose both ends are nodes, known or new. Only buckets that the load touches are read; those of changed
+    vertices are merged and written, and to those of edges a folder of the added ones comes. The others stay
+    where they are. A load that changes nothing writes nothing. Give one record a guid; the load is stored
+    first, as it is read several times.
     """
     spark, load = nodes.sparkSession, uuid.uuid4().hex
     manifest = _Manifest(spark, path)
@@ -211,40 +228,51 @@ def upsert_graph(nodes: DataFrame, edges: DataFrame, path: str, buckets: int = G
     if not manifest.number:
         write_graph(nodes, lineage.connected_edges(edges, nodes), path, buckets)
         return
-    content, n = dict(manifest.content), manifest.content["buckets"]
+    content = dict(manifest.content)
+    vertex_at, edge_at = _vertex_bucket(content["buckets"]), _edge_bucket(content)
     schema = StructType.fromJson(json.loads(content["vertex_schema"]))
     if sorted(nodes.columns) != sorted(schema.names):
         raise ValueError(f"the graph has columns {schema.names}")
     nodes = nodes.select(*schema.names)
 
-    known = _stored(spark, manifest.folders("vertices", _touched(nodes, _VERTEX_KEY, n)), schema)
+    known = _stored(spark, manifest.folders("vertices", _touched(nodes, vertex_at)), schema)
     changed = nodes if known is None else nodes.join(
         known, [nodes[c].eqNullSafe(known[c]) for c in schema.names], "left_anti")
     changed = store(changed, "changed_nodes")
     content["vertices"] = dict(content["vertices"])
-    parts = _touched(changed, _VERTEX_KEY, n)
+    parts = _touched(changed, vertex_at)
     if parts:
         known = _stored(spark, manifest.folders("vertices", parts), schema)
         merged = changed if known is None else upsert_vertices(known, changed)
-        content["vertices"] |= _write_buckets(merged, _VERTEX_KEY, n, manifest.path, load, "vertices")
+        content["vertices"] |= _write_buckets(merged, vertex_at, manifest.path, load, "vertices", ["guid"])
 
-    known = _stored(spark, manifest.folders("edges", _touched(edges, _EDGE_KEY, n)), _EDGE_SCHEMA)
-    added = edges if known is None else edges.join(known, ["src", "dst", "rel"], "left_anti")
+    known = _stored(spark, manifest.folders("edges", _touched(edges, edge_at)), _EDGE_SCHEMA)
+    same = ["src", "dst", "rel"]
+    # known edges lie where they are but for those that may be in the load
+    added = edges if known is None else edges.join(sift(known, edges, same)[1], same, "left_anti")
     added = store(added, "added_edges")
     # ends are looked up where they can be: in the buckets of the load's edges, guids only
     ends = added.select(F.explode(F.array("src", "dst")).alias("guid"))
-    at = _stored(spark, [f"{manifest.path}/{content['vertices'][str(b)]}" for b in _touched(ends, _VERTEX_KEY, n) if str(b) in content["vertices"]], schema)
+    at = _stored(spark, [f"{manifest.path}/{content['vertices'][str(b)]}" for b in _touched(ends, vertex_at) if str(b) in content["vertices"]], schema)
     added = store(lineage.connected_edges(added, at), "linked_edges") if at is not None else added.limit(0)
-    content["edges"] = dict(content["edges"])
-    parts = _touched(added, _EDGE_KEY, n)
-    if parts:
-        known = _stored(spark, manifest.folders("edges", parts), _EDGE_SCHEMA)
-        merged = added if known is None else known.unionByName(added)
-        content["edges"] |= _write_buckets(merged, _EDGE_KEY, n, manifest.path, load, "edges")
+    if not added.isEmpty():
+        content["edges"] = _with_added(content, added, edge_at, manifest, load)
     if content != manifest.content:
         manifest.commit(content)
 
 
+def _with_added(content: dict, added: DataFrame, edge_at: Column, manifest: _Manifest, load: str) -> dict:
+    """Folders of edges by bucket after a load. Buckets of many loads become one folder again."""
+    held = {b: [f] if isinstance(f, str) else f for b, f in content["edges"].items()}
+    many = [int(b) for b in (str(b) for b in _touched(added, edge_at)) if len(held.get(b, [])) >= EDGE_FOLDERS]
+    if many:
+        known = _stored(added.sparkSession, manifest.folders("edges", many), _EDGE_SCHEMA)
+        added = added.unionByName(known)
+        held = {b: f for b, f in held.items() if int(b) not in many}
+    new = _write_buckets(added, edge_at, manifest.path, load, "edges", ["src", "dst", "rel"])
+    return held | {b: [*held.get(b, []), f] for b, f in new.items()}
+
+
 def vacuum_graph(spark: SparkSession, path: str) -> int:
     """Remove folders and manifests that the stored graph no longer needs; returns how many.
 

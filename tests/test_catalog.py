@@ -555,3 +555,106 @@ def test_known_links_are_found_once(spark, tmp_path):
     edges = all_queries()["join_edges_to_nodes"](spark, str(tmp_path))
     assert "LeftSemi" not in edges._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, edges.collect())) == [("p1", "s1", "READS_FROM"), ("s1", "p1", "WRITES_TO")]
+
+
+def _order_tables(spark, path, rows, orders=((1, 5, "P"),)):
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").repartition(5).write.parquet(f"{path}/lineitem.parquet")
+    spark.createDataFrame(list(orders), "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(f"{path}/orders.parquet")
+
+
+def test_links_land_payload_by_payload(spark, tmp_path):
+    """The links of one payload are in one file, in which they stand together; null keys and repeated rows too."""
+    from depscope.plans.inputs import Inputs
+    rows = [(k % 300 if k % 50 else None, k % 7, k % 11, k % 13) for k in range(3000)]
+    _order_tables(spark, tmp_path, rows + rows[:100], [(k, k, "P") for k in range(40)])
+    for view in ("links", "supply_links"):
+        i = Inputs(spark, str(tmp_path))
+        landed = i.links(view).drop("own_name", "name")
+        plain = lineage.distinct_links(i.view(view)).select(*landed.columns)
+        assert sorted(map(repr, landed.collect())) == sorted(map(repr, plain.collect()))
+        at = landed.select("payload_id", F.input_file_name().alias("file")).collect()
+        assert len({r.file for r in at}) > 1
+        runs = [r for k, r in enumerate(at) if not k or at[k - 1] != r]
+        assert len(runs) == len({r.payload_id for r in at}) > 290
+
+
+def test_sift(spark):
+    """No matching row is sure, whatever its key, and few others are in doubt."""
+    from depscope.operators import skew
+    df = spark.range(100_000).select(F.concat(F.lit("k"), "id").alias("k"), F.when(F.col("id") % 9 != 0, F.col("id") % 5).alias("m")).union(spark.sql("select null, 1L"))
+    keys = df.where(F.hash("k") % 10 == 0).union(spark.sql("select null, 1L"))
+    surely, perhaps = skew.sift(df, keys, ["k", "m"])
+    n = surely.count()
+    assert n + perhaps.count() == 100_001 and n > 0.9 * (100_001 - keys.count())
+    assert surely.join(keys, [surely.k.eqNullSafe(keys.k), surely.m.eqNullSafe(keys.m)], "left_semi").isEmpty()
+    assert skew.sift(df, keys.limit(0), ["k", "m"])[1].isEmpty()
+
+
+@pytest.mark.parametrize("limit", [10**6, 3])
+def test_connected_links_stay_where_they_are(spark, monkeypatch, limit):
+    """Only GUIDs move, and the links that a bitmap of unknown ones lets through."""
+    from depscope import session
+    from depscope.operators import skew
+    monkeypatch.setattr(skew, "SIFTED_KEYS", limit)
+    links = spark.range(20_000).select((F.col("id") % 500).alias("payload_id"), F.when(F.col("id") % 100 != 7, F.concat(F.lit("g"), F.col("id") % 1000)).alias("guid"))
+    nodes = spark.range(990).select(F.concat(F.lit("g"), "id").alias("guid")).union(spark.sql("select 'g1'"))
+    found = lineage.connected_links(links, nodes)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, links.join(nodes.distinct(), "guid", "left_semi").select(links.columns).collect()))
+    if limit > 3:
+        stored = [p for p in session._STORED[spark.sparkContext.applicationId] if p.endswith("links_to_test")]
+        assert 0 < spark.read.parquet(stored[-1]).count() < 2000
+
+
+# --- loads into a stored graph ---
+
+def test_load_adds_edges_without_writing_known_ones(spark, graph):
+    """A few edges in every bucket: known edges stay in their files, and loads add up to a bounded number of folders."""
+    _, edges, path = graph
+    first = _files(path)
+    for k in range(20):
+        new = spark.range(150).select(F.concat(F.lit("g"), F.col("id") * 3 + k).alias("src"), F.concat(F.lit("g"), F.col("id") * 7).alias("dst"), F.lit(f"N{k}").alias("rel"))
+        sinks.upsert_graph(spark.createDataFrame([], "guid string, typeName string, name string"), new.union(edges.limit(500)), str(path))
+        if not k:
+            second = _files(path)
+            assert {p: second[p] for p in first} == first
+            known = sum(n for p, n in first.items() if "edges" in str(p))
+            assert 0 < sum(n for p, n in second.items() if p not in first) < 0.5 * known
+    linked = sinks.read_graph(spark, str(path))[1]
+    assert linked.count() == linked.distinct().count() == edges.count() + 20 * 150
+    held = sinks._Manifest(spark, str(path)).content["edges"]
+    assert max(len(f) for f in held.values()) <= sinks.EDGE_FOLDERS
+    sinks.vacuum_graph(spark, str(path))
+    assert sinks.read_graph(spark, str(path))[1].count() == linked.count()
+
+
+def test_load_into_a_graph_by_source(spark, graph, monkeypatch):
+    """A graph stored before edges lay by both ends, in one folder a bucket, is loaded as it is."""
+    nodes, edges, path = graph
+    old = str(path) + "_old"
+    plain = sinks._edge_bucket
+    monkeypatch.setattr(sinks, "_edge_bucket", lambda content: plain({"buckets": content["buckets"]}))
+    sinks.write_graph(nodes, edges, old, buckets=40)
+    monkeypatch.undo()
+    manifest = sinks._Manifest(spark, old)
+    content = dict(manifest.content)
+    del content["edges_by"]
+    manifest.commit(content)
+    new = spark.createDataFrame([("g1", "g2", "NEW"), ("g2", "g1", "NEW")], "src string, dst string, rel string")
+    sinks.upsert_graph(nodes.limit(0), new.union(edges.limit(300)), old)
+    linked = sinks.read_graph(spark, old)[1]
+    assert linked.count() == linked.distinct().count() == edges.count() + 2
+
+
+def test_edges_come_by_bucket(spark, tmp_path):
+    """Each task's edges are in one bucket, and are written where they lie."""
+    rows = [(k % 90, "P", r, f"{r}{k % 31}" if k % 5 else f"x{k % 7}") for k in range(900) for r in ("in", "out")] + [(None, "P", "in", "a"), (3, None, "in", "a")]
+    links = spark.createDataFrame(rows, "payload_id long, proc string, role string, guid string")
+    edges = lineage.edges_by_guid(links, 8)
+    assert sorted(map(tuple, edges.collect())) == sorted(map(tuple, lineage.edges_by_guid(links).collect()))
+    tasks = edges.select(F.spark_partition_id().alias("t"), lineage.pair_bucket("src", "dst", 8).alias("b")).distinct().collect()
+    assert len(tasks) == len({r.t for r in tasks}) == 8
+    nodes = edges.select(F.col("src").alias("guid")).distinct()
+    path = str(tmp_path / "g")
+    sinks.write_graph(nodes, edges, path, buckets=8, dealt=True)
+    assert sorted(map(tuple, sinks.read_graph(spark, path)[1].collect())) == sorted(map(tuple, edges.collect()))
+    assert len(list(Path(path).glob("edges/*/bucket=*/*.parquet"))) == 8
