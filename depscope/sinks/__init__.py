@@ -23,11 +23,11 @@ CSV_OPTIONS = {
 DEPENDENCY_SORT = ["window_start", "service", "user", "do_as", "op", "object_id"]
 
 
-def write_csv(df: DataFrame, path: str, sort: list[str] | None = None) -> None:
+def write_csv(df: DataFrame, path: str, sort: list[str] | None = None, compression: str = "none") -> None:
     """CSV with header; with ``sort`` the part files follow each other in order."""
     if sort:
         df = df.orderBy(*sort)
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS, compression=compression).csv(path)
 
 
 def write_events(df: DataFrame, path: str | None) -> None:
@@ -56,8 +56,9 @@ def write_objects(df: DataFrame, path: str, sort: list[str] | None = None) -> No
     write_csv(df.select(*OBJECT_COLUMNS), path, sort)
 
 
-def write_lineage(df: DataFrame, path: str) -> None:
-    write_csv(df.select(*LINEAGE_COLUMNS), path)
+def write_lineage(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Names and types repeat in many rows: ``gzip`` files take a small part of the room."""
+    write_csv(df.select(*LINEAGE_COLUMNS), path, compression=compression)
 
 
 def write_partitioned(df: DataFrame, path: str, append: bool = False) -> None:

@@ -658,3 +658,36 @@ def test_edges_come_by_bucket(spark, tmp_path):
     sinks.write_graph(nodes, edges, path, buckets=8, dealt=True)
     assert sorted(map(tuple, sinks.read_graph(spark, path)[1].collect())) == sorted(map(tuple, edges.collect()))
     assert len(list(Path(path).glob("edges/*/bucket=*/*.parquet"))) == 8
+
+
+def test_links_of_a_row_are_told_apart_once(spark, monkeypatch):
+    """Stored links of a payload are distinct, with the first place of each, and those that joins would find."""
+    rng = random.Random(7)
+    texts = []
+    for _ in range(60):
+        names = [rng.choice("abpq") + str(rng.randrange(3)) for _ in range(rng.randrange(7))]  # some twice
+        entities = ", ".join(json.dumps(x) + ": " + json.dumps({"typeName": "Hive_Process" if x[0] in "pq" else rng.choice(["t", None, "u"]), "attributes": {"qualifiedName": rng.choice(["n" + x, "", None])}}) for x in names)
+        ends = [*names, "zz", "", None]
+        relations = json.dumps([{"fromEntityId": rng.choice(ends), "toEntityId": rng.choice(ends)} for _ in range(rng.randrange(25))])
+        texts.append((f'{{"lineage": {{"guidEntityMap": {{{entities}}}, "relations": {relations}}}}}',))
+    texts += [('{"lineage": {"relations": [{"fromEntityId": "a"}]}}',), ('{"lineage": {"guidEntityMap": {"p": {"typeName": "process"}}}}',), ('{"lineage": null}',)]
+    df = spark.createDataFrame(texts, "t string").coalesce(1).select(F.inline(F.array(F.from_json("t", LINEAGE))))
+    columns = lineage.LINK_COLUMNS
+    plain = lineage.links(df).select(*columns)
+    once = lineage.slim_payloads(df, distinct=True).select("payload_id", F.inline("found")).select(*columns)
+    in_rows = {r.payload_id for r in lineage.slim_payloads(df).where("relations is null").select("payload_id").collect()}
+    want = [r for r in map(tuple, lineage.distinct_links(plain).select(*columns).collect()) if r[0] in in_rows]
+    assert len(in_rows) > 20 and sorted(want) == sorted(map(tuple, once.collect())) and len(want) < plain.count()
+    monkeypatch.setattr(lineage, "IN_ROW", -1)
+    assert sorted(map(tuple, lineage.links(df).select(*columns).collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_lineage_csv_in_small_files(spark, tmp_path):
+    rows = [("hive_table", f"d{k % 9}, \"x\"", "hdfs_path", f" n{k % 5}", "WRITES_TO") for k in range(3000)]
+    df = spark.createDataFrame(rows, LINEAGE_COLUMNS)
+    for kind in ("none", "gzip"):
+        sinks.write_lineage(df, str(tmp_path / kind), compression=kind)
+        back = spark.read.options(header="true", escape='"', lineSep="\r\n", multiLine="true").csv(str(tmp_path / kind))
+        assert sorted(map(tuple, back.collect())) == sorted(rows)
+    plain, small = (sum(f.stat().st_size for f in (tmp_path / kind).glob("part-*")) for kind in ("none", "gzip"))
+    assert small < plain / 5 and list((tmp_path / "none").glob("part-*.csv")) and list((tmp_path / "gzip").glob("part-*.csv.gz"))
