@@ -72,7 +72,7 @@ def slim_payloads(payloads: DataFrame, distinct: bool = False) -> DataFrame:
     found = _links_in_row(F.col("placed"), guids, F.col("processes"), entities)
     return store(parsed.select(
         "payload_id", F.when(~F.col("large"), found).alias("found"),
-        F.when(F.col("large"), relations).alias("relations"), F.when(F.col("large"), entities).alias("entities")), "payloads")
+        F.when(F.col("large"), relations).alias("relations"), F.when(F.col("large"), entities).alias("entities")), "payloads", compression="zstd")
 
 
 def links(payloads: DataFrame) -> DataFrame:
@@ -348,13 +348,13 @@ def connected_links(links: DataFrame, nodes: DataFrame) -> DataFrame:
     if surely is None:
         return skew_join(links, guids, ["guid"], "left_semi").select(*links.columns)
     # stored, since the optimizer would test all links before it sifts them
-    return surely.unionByName(skew_join(store(perhaps, "links_to_test"), guids, ["guid"], "left_semi"))
+    return surely.unionByName(skew_join(store(perhaps, "links_to_test", compression="zstd"), guids, ["guid"], "left_semi"))
 
 
 def graph(payloads: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges between known nodes, from payloads. The links are stored on the way."""
     slim = links(payloads).select("payload_id", "proc", "role", "guid").distinct()
-    return edges_by_guid(store(connected_links(store(slim, "links"), nodes), "graph_links"))
+    return edges_by_guid(store(connected_links(store(slim, "links", compression="zstd"), nodes), "graph_links", compression="zstd"))
 
 
 def connected_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -225,7 +225,7 @@ def upsert_graph(nodes: DataFrame, edges: DataFrame, path: str, buckets: int = G
     """
     spark, load = nodes.sparkSession, uuid.uuid4().hex
     manifest = _Manifest(spark, path)
-    nodes, edges = store(nodes, "new_nodes"), store(edges.select("src", "dst", "rel").distinct(), "new_edges")
+    nodes, edges = store(nodes, "new_nodes"), store(edges.select("src", "dst", "rel").distinct(), "new_edges", compression="zstd")
     if not manifest.number:
         write_graph(nodes, lineage.connected_edges(edges, nodes), path, buckets)
         return
@@ -251,7 +251,7 @@ def upsert_graph(nodes: DataFrame, edges: DataFrame, path: str, buckets: int = G
     same = ["src", "dst", "rel"]
     # known edges lie where they are but for those that may be in the load
     added = edges if known is None else edges.join(sift(known, edges, same)[1], same, "left_anti")
-    added = store(added, "added_edges")
+    added = store(added, "added_edges", compression="zstd")
     # ends are looked up where they can be: in the buckets of the load's edges, guids only
     ends = added.select(F.explode(F.array("src", "dst")).alias("guid"))
     at = _stored(spark, [f"{manifest.path}/{content['vertices'][str(b)]}" for b in _touched(ends, vertex_at) if str(b) in content["vertices"]], schema)
